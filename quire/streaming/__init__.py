@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference reads only complete files; it has no stream, watermark or
+stateful operator, so this package registers no streaming query.  Every batch
+operator in :mod:`quire.operators` is a pure DataFrame function and can be
+applied per micro-batch with ``writeStream.foreachBatch`` if a caller feeds
+documents incrementally.
+"""
