@@ -300,16 +300,22 @@ def collocations(sentences: DataFrame, sizes: Sequence[int] = (2,), k: int = 10,
                     F.col("rank").cast("bigint").alias("rank"), "gram", "score"))
 
 
-def mask_tokens(tokens, seed, sid, pct: float = 10.0, marker: str = "[*]") -> Column:
+def mask_sentences(df: DataFrame, tokens_col: str, sid, seed, pct: float = 10.0,
+                   marker: str = "[*]", out_col: str = "masked") -> DataFrame:
     """Replace max(1, int(len * pct / 100)) seeded positions by ``marker``.
 
     In-row: the k-th smallest position hash is the threshold, so no shuffle.
+    Hashes and threshold are produced by a generator so that the optimizer
+    cannot inline the sort into the per-token lambda.
     """
-    t = _c(tokens)
-    k = F.greatest(F.lit(1), F.floor(F.size(t) * F.lit(pct) / 100)).cast("int")
-    h = F.transform(t, lambda _x, i: F.md5(F.concat_ws("-", F.lit(str(seed)), _c(sid).cast("string"),
+    t = F.col(tokens_col)
+    sid_c = F.col(sid) if isinstance(sid, str) else sid
+    k = F.greatest(F.lit(1), F.floor(F.size(t) * F.lit(float(pct)) / 100)).cast("int")
+    h = F.transform(t, lambda _x, i: F.md5(F.concat_ws("-", F.lit(str(seed)), sid_c.cast("string"),
                                                        i.cast("string"))))
-    thr = F.element_at(F.array_sort(h), k)
-    return F.when(F.size(t) == 0, t).otherwise(
-        F.transform(F.arrays_zip(t.alias("t"), h.alias("h")),
-                    lambda z: F.when(z["h"] <= thr, F.lit(marker)).otherwise(z["t"])))
+    d = df.withColumn("__h", h)
+    d = d.select("*", F.inline(F.array(F.struct(
+        F.element_at(F.sort_array("__h"), F.greatest(k, F.lit(1))).alias("__thr")))))
+    z = F.arrays_zip(t.alias("t"), F.col("__h").alias("h"))
+    masked = F.transform(z, lambda e: F.when(e["h"] <= F.col("__thr"), F.lit(marker)).otherwise(e["t"]))
+    return d.withColumn(out_col, F.when(F.size(t) == 0, t).otherwise(masked)).drop("__h", "__thr")

@@ -200,8 +200,8 @@ def q_mask_tokens(spark, sf_dir):
     """Mask max(1, 10 %) seeded tokens of every sentence with >= 5 tokens of one corpus."""
     s = lm_sentences(spark, sf_dir).filter((F.col("corpus") == MASK_CORPUS)
                                            & (F.size("tokens") >= MIN_MASK_TOKENS))
-    masked = N.mask_tokens(F.col("tokens"), SEED, F.col("sid"), MASK_PCT)
-    return s.select("sid", F.array_join(masked, " ").alias("masked_sentence"),
+    s = N.mask_sentences(s, "tokens", "sid", SEED, MASK_PCT)
+    return s.select("sid", F.array_join("masked", " ").alias("masked_sentence"),
                     F.greatest(F.lit(1), F.floor(F.size("tokens") * MASK_PCT / 100)).cast("bigint")
                     .alias("n_masked"))
 
@@ -225,6 +225,6 @@ def q_fill_masks(spark, sf_dir):
     then score it under both models (N14) and give its perplexity (N8)."""
     s, counts, totals = lm_model(spark, sf_dir)
     src = s.filter((F.col("corpus") == MASK_CORPUS) & (F.size("tokens") >= MIN_MASK_TOKENS))
-    masked = src.select("sid", N.mask_tokens(F.col("tokens"), SEED, F.col("sid"), MASK_PCT).alias("masked"),
-                        F.lit(MODEL_CORPUS).alias("corpus"))
+    masked = N.mask_sentences(src, "tokens", "sid", SEED, MASK_PCT) \
+        .select("sid", "masked", F.lit(MODEL_CORPUS).alias("corpus"))
     return fill_masks(masked, counts, totals, OTHER_CORPUS)
