@@ -1,4 +1,4 @@
 """Imports every query family so that the registry is complete."""
 
-from quire.plans import q_features, q_lm, q_ngrams, q_tables, q_text, q_vectors  # noqa: F401
+from quire.plans import q_features, q_lm, q_matrix, q_ngrams, q_tables, q_text, q_vectors  # noqa: F401
 from quire.plans.registry import ORACLES, QUERIES  # noqa: F401
