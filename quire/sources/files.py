@@ -174,7 +174,7 @@ def cached_subset(spark: SparkSession, path: str, build) -> DataFrame:
 # ------------------------------------------------------------------ S9
 def read_labelled_tree(spark: SparkSession, root: str, by: str = "folder",
                        classes: Sequence[str] = WEATHER_CLASSES) -> DataFrame:
-    """Image files -> (path, label).
+    """Image files -> (path, label) (the binary reader skips empty files).
 
     ``by='folder'``: the label is the parent folder (one of ``classes``;
     a missing class folder is simply absent).  ``by='prefix'``: the label is
