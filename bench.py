@@ -39,7 +39,8 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = get_spark(f"local[{cpus}]", int(cpus) * 2)
+    spark = get_spark(f"local[{cpus}]", int(cpus) * 2,
+                      driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
     if os.environ.get("BENCH_ALL"):
         names = sorted(QUERIES)
     elif os.environ.get("BENCH_QUERIES"):

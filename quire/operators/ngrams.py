@@ -58,25 +58,16 @@ def check_order(n: int) -> None:
 # model fit
 # --------------------------------------------------------------------------
 
-def _all_orders(padded: Column) -> Column:
-    """Array of struct(n, gram) for n = 1, 2, 3 over one padded sentence."""
-    L = F.size(padded)
-    uni = F.transform(padded, lambda t: F.struct(F.lit(1).alias("n"), t.alias("gram")))
-    bi = F.transform(F.sequence(F.lit(2), L),
-                     lambda i: F.struct(F.lit(2).alias("n"),
-                                        F.array_join(F.slice(padded, i - 1, 2), " ").alias("gram")))
-    tri = F.transform(F.sequence(F.lit(3), L),
-                      lambda i: F.struct(F.lit(3).alias("n"),
-                                         F.array_join(F.slice(padded, i - 2, 3), " ").alias("gram")))
-    return F.concat(uni, bi, tri)
-
-
 def ngram_counts(sentences: DataFrame, tokens_col: str = "tokens",
                  corpus_col: str = "corpus") -> DataFrame:
-    """(corpus, n, gram, cnt) for n = 1, 2, 3 with s_1 s_1 ... s_2 padding."""
-    g = (sentences
-         .select(F.col(corpus_col).alias("corpus"), F.explode(_all_orders(lm_pad(tokens_col))).alias("g"))
-         .select("corpus", F.col("g.n").alias("n"), F.col("g.gram").alias("gram")))
+    """(corpus, n, gram, cnt) for n = 1, 2, 3 with s_1 s_1 ... s_2 padding;
+    one explode of all orders, one aggregation (partial counts map-side)."""
+    d = sentences.select(F.col(corpus_col).alias("corpus"), lm_pad(tokens_col).alias("p"))
+    d = with_ngrams(d, "p", (2, 3))
+    tagged = F.concat(*[F.arrays_zip(F.array_repeat(F.lit(n), F.size(c)).alias("n"), F.col(c).alias("gram"))
+                        for n, c in ((1, "p"), (2, "__g2"), (3, "__g3"))])
+    g = d.select("corpus", F.explode(tagged).alias("g")).select("corpus", F.col("g.n").alias("n"),
+                                                                F.col("g.gram").alias("gram"))
     return g.groupBy("corpus", "n", "gram").agg(F.count(F.lit(1)).alias("cnt"))
 
 
@@ -111,37 +102,45 @@ def _interpolate(c1, c2, d2, c3, d3, total, vocab) -> Column:
 def position_probabilities(sentences: DataFrame, counts: DataFrame, totals: DataFrame,
                            id_col: str = "sid", tokens_col: str = "tokens",
                            model_col: str = "corpus") -> DataFrame:
-    """(id, model, pos, token, p) for every scored position (index >= 2 of the
-    padded list) of every sentence under the model named in ``model_col``."""
-    pos = (sentences
-           .select(F.col(id_col).alias("sid"), F.col(model_col).alias("corpus"),
-                   lm_pad(tokens_col).alias("p"))
-           .select("sid", "corpus", "p", F.explode(F.sequence(F.lit(3), F.size("p"))).alias("pos"))
-           .select("sid", "corpus", "pos",
-                   F.element_at("p", F.col("pos")).alias("w"),
-                   F.element_at("p", F.col("pos") - 1).alias("w1"),
-                   F.element_at("p", F.col("pos") - 2).alias("w2")))
-    # five look-ups per position: c1, c2, d2, c3, d3
-    req = pos.select(
-        "sid", "corpus", "pos", "w",
-        F.explode(F.array(
-            F.struct(F.lit("c1").alias("k"), F.lit(1).alias("n"), F.col("w").alias("gram")),
-            F.struct(F.lit("c2").alias("k"), F.lit(2).alias("n"), F.concat_ws(" ", "w1", "w").alias("gram")),
-            F.struct(F.lit("d2").alias("k"), F.lit(1).alias("n"), F.col("w1").alias("gram")),
-            F.struct(F.lit("c3").alias("k"), F.lit(3).alias("n"),
-                     F.concat_ws(" ", "w2", "w1", "w").alias("gram")),
-            F.struct(F.lit("d3").alias("k"), F.lit(2).alias("n"), F.concat_ws(" ", "w2", "w1").alias("gram")),
-        )).alias("r"))
-    req = req.select("sid", "corpus", "pos", "w", "r.k", "r.n", "r.gram")
-    hit = req.join(counts, on=["corpus", "n", "gram"], how="left")
-
-    def pick(k: str) -> Column:
-        return F.sum(F.when(F.col("k") == k, F.coalesce(F.col("cnt"), F.lit(0)))).alias(k)
-
-    per_pos = hit.groupBy("sid", "corpus", "pos", "w").agg(*[pick(k) for k in ("c1", "c2", "d2", "c3", "d3")])
-    per_pos = per_pos.join(totals, "corpus")
-    return per_pos.select(
-        "sid", "corpus", "pos", F.col("w").alias("token"),
+    """(sid, corpus, pos, token, p) for every scored position (index >= 3 of
+    the 1-based padded list) of every sentence under the model named in
+    ``model_col``.
+
+    Each padded position asks for the counts of the unigram, bigram and
+    trigram ending there (three look-ups, one join against the count
+    table).  The context counts of position i are the unigram / bigram
+    counts of position i - 1, read with ``lag`` inside the sentence; the
+    join output is shuffled once by sentence and the aggregation, the window
+    and the caller's per-sentence sum all reuse that partitioning.
+    """
+    d = sentences.select(F.col(id_col).alias("sid"), F.col(model_col).alias("corpus"),
+                         lm_pad(tokens_col).alias("p"))
+    d = with_ngrams(d, "p", (2, 3))
+    L = F.size("p")
+    # requests ending at padded positions 2..L (unigram, bigram) and 3..L (trigram)
+    req = F.concat(
+        F.arrays_zip(F.sequence(F.lit(2), L).alias("idx"), F.array_repeat(F.lit(1), L - 1).alias("n"),
+                     F.slice("p", 2, L - 1).alias("gram")),
+        F.arrays_zip(F.sequence(F.lit(2), L).alias("idx"), F.array_repeat(F.lit(2), L - 1).alias("n"),
+                     F.col("__g2").alias("gram")),
+        F.arrays_zip(F.sequence(F.lit(3), L).alias("idx"), F.array_repeat(F.lit(3), L - 2).alias("n"),
+                     F.col("__g3").alias("gram")))
+    r = d.select("sid", "corpus", F.explode(req).alias("r")) \
+        .select("sid", "corpus", F.col("r.idx").alias("idx"), F.col("r.n").alias("n"), F.col("r.gram").alias("gram"))
+    hit = r.join(counts.hint("shuffle_hash"), on=["corpus", "n", "gram"], how="left") \
+        .withColumn("cnt", F.coalesce("cnt", F.lit(0))).repartition("sid", "corpus")
+
+    def at(n: int) -> Column:
+        return F.max(F.when(F.col("n") == n, F.col("cnt"))).alias(f"c{n}")
+
+    per = hit.groupBy("sid", "corpus", "idx").agg(at(1), at(2), at(3),
+                                                  F.max(F.when(F.col("n") == 1, F.col("gram"))).alias("token"))
+    w = Window.partitionBy("sid", "corpus").orderBy("idx")
+    per = per.withColumn("d2", F.lag("c1").over(w)).withColumn("d3", F.lag("c2").over(w)) \
+        .filter(F.col("idx") >= 3)
+    per = per.join(F.broadcast(totals.select("corpus", "total", "vocab")), "corpus")
+    return per.select(
+        "sid", "corpus", F.col("idx").alias("pos"), "token",
         _interpolate(F.col("c1"), F.col("c2"), F.col("d2"), F.col("c3"), F.col("d3"),
                      F.col("total"), F.col("vocab")).alias("p"))
 
@@ -237,30 +236,50 @@ def best_next_token(contexts: DataFrame, counts: DataFrame, totals: DataFrame) -
 # collocations
 # --------------------------------------------------------------------------
 
+def with_ngrams(df: DataFrame, tokens_col: str, sizes: Sequence[int], prefix: str = "__g") -> DataFrame:
+    """Add one column of blank-joined n-grams per size, built by Spark ML's
+    ``NGram`` transformer (a compiled per-row function; the equivalent
+    higher-order ``transform(sequence(...), slice ...)`` is interpreted and
+    several times slower)."""
+    from pyspark.ml.feature import NGram
+    for n in sizes:
+        df = NGram(n=n, inputCol=tokens_col, outputCol=f"{prefix}{n}").transform(df)
+    return df
+
+
+def _interior_grams(df: DataFrame, tokens_col: str, sizes: Sequence[int], keep: Sequence[str]) -> DataFrame:
+    """Rows ``(*keep, n, gram)`` for the grams that hold no padding mark.
+
+    With (n-1) start marks and one end mark, the grams free of marks are
+    exactly the n-grams of the unpadded tokens, so no padding is built.  A
+    literal mark token inside the text (impossible with the regex
+    tokenizer, possible with others) is still excluded, per gram."""
+    marks = F.array(F.lit(BOS), F.lit(EOS))
+    d = with_ngrams(df.select(*keep, tokens_col), tokens_col, sizes)
+    d = d.withColumn("__has_mark", F.arrays_overlap(F.col(tokens_col), marks))
+    tagged = F.concat(*[F.arrays_zip(F.array_repeat(F.lit(n), F.size(f"__g{n}")).alias("n"),
+                                     F.col(f"__g{n}").alias("gram")) for n in sizes])
+    x = d.select(*keep, "__has_mark", F.explode(tagged).alias("x"))
+    x = x.select(*keep, "__has_mark", F.col("x.n").alias("n"), F.col("x.gram").alias("gram"))
+    marked = F.col("__has_mark") & F.arrays_overlap(F.split("gram", " "), marks)
+    return x.filter(~F.coalesce(F.when(F.col("__has_mark"), marked), F.lit(False))).drop("__has_mark")
+
+
 def document_ngram_counts(sentences: DataFrame, sizes: Sequence[int] = (2,), tokens_col: str = "tokens",
                           corpus_col: str = "corpus", doc_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """Per-document gram counts and per-document gram totals, for all
-    ``sizes`` in one pass (one explode, one aggregation).
+    """Per-document counts of the grams free of padding marks, and the
+    per-document gram totals (which do count the padded grams).
 
-    Returns ``(doc_grams(corpus, n, doc_id, gram, cnt, boundary),
-    doc_totals(corpus, n, doc_id, doc_total))``.  ``boundary`` marks grams
-    holding a padding mark (they count in totals but are never collocations).
+    With (n-1) start marks and one end mark a sentence of L tokens has
+    L + 1 padded n-grams whatever n is, so the totals come from the token
+    counts, without building padded grams.  Returns
+    ``(doc_grams(corpus, n, doc_id, gram, cnt), doc_totals(corpus, doc_id, doc_total))``.
     """
     s = sentences.select(F.col(corpus_col).alias("corpus"), F.col(doc_col).alias("doc_id"),
                          F.col(tokens_col).alias("t"))
-    per_n = F.array(*[F.struct(F.lit(n).alias("n"),
-                               F.size(colloc_pad("t", n)).alias("len"),
-                               ngrams_of(colloc_pad("t", n), n).alias("grams")) for n in sizes])
-    s = s.select("corpus", "doc_id", F.explode(per_n).alias("x"))
-    s = s.select("corpus", "doc_id", F.col("x.n").alias("n"), F.col("x.len").alias("len"),
-                 F.col("x.grams").alias("grams"))
-    doc_totals = (s.groupBy("corpus", "n", "doc_id")
-                  .agg(F.sum(F.col("len") - F.col("n") + 1).cast("bigint").alias("doc_total")))
-    grams = s.select("corpus", "n", "doc_id", F.explode("grams").alias("gram"))
-    grams = grams.withColumn(
-        "boundary", F.arrays_overlap(F.split("gram", " "), F.array(F.lit(BOS), F.lit(EOS))))
-    doc_grams = (grams.groupBy("corpus", "n", "doc_id", "gram")
-                 .agg(F.count(F.lit(1)).alias("cnt"), F.max("boundary").alias("boundary")))
+    doc_totals = s.groupBy("corpus", "doc_id").agg(F.sum(F.size("t") + 1).cast("bigint").alias("doc_total"))
+    g = _interior_grams(s, "t", sizes, ["corpus", "doc_id"])
+    doc_grams = g.groupBy("corpus", "n", "doc_id", "gram").agg(F.count(F.lit(1)).alias("cnt"))
     return doc_grams, doc_totals
 
 
@@ -269,23 +288,25 @@ def collocations(sentences: DataFrame, sizes: Sequence[int] = (2,), k: int = 10,
                  corpus_col: str = "corpus", doc_col: str = "doc_id") -> DataFrame:
     """Top-k collocations per (corpus, n) by frequency or mean TF-IDF.
 
-    Output (corpus, n, rank, gram, score).  Frequency score = global count;
-    TF-IDF score = mean over the documents holding the gram of
-    (cnt / document grams) * ln((N + 1) / (df + 1)), N = documents of the corpus.
+    Output (corpus, n, rank, gram, score).  Frequency score = corpus count
+    (one aggregation, partial counts before the shuffle); TF-IDF score = mean
+    over the documents holding the gram of (cnt / document grams) *
+    ln((N + 1) / (df + 1)), N = documents of the corpus.  Grams holding a
+    padding mark never qualify; the top-k per (corpus, n) keeps only k rows
+    per group before the final shuffle (window group limit).
     """
     if metric not in ("frequency", "tfidf"):
         raise ValueError("wrong metric used")
-    doc_grams, doc_totals = document_ngram_counts(sentences, sizes, tokens_col, corpus_col, doc_col)
     if metric == "frequency":
-        g = (doc_grams.filter(~F.col("boundary")).groupBy("corpus", "n", "gram")
-             .agg(F.sum("cnt").alias("total_cnt"))
+        s = sentences.select(F.col(corpus_col).alias("corpus"), F.col(tokens_col).alias("t"))
+        x = _interior_grams(s, "t", sizes, ["corpus"])
+        g = (x.groupBy("corpus", "n", "gram").agg(F.count(F.lit(1)).alias("total_cnt"))
              .filter(F.col("total_cnt") >= threshold)
              .select("corpus", "n", "gram", F.col("total_cnt").cast("double").alias("score")))
     else:
-        n_docs = (sentences.groupBy(F.col(corpus_col).alias("corpus"))
-                  .agg(F.count_distinct(doc_col).alias("n_docs")))
-        tf = (doc_grams.filter(~F.col("boundary"))
-              .join(doc_totals, ["corpus", "n", "doc_id"])
+        doc_grams, doc_totals = document_ngram_counts(sentences, sizes, tokens_col, corpus_col, doc_col)
+        n_docs = doc_totals.groupBy("corpus").agg(F.count(F.lit(1)).alias("n_docs"))
+        tf = (doc_grams.join(doc_totals, ["corpus", "doc_id"])
               .select("corpus", "n", "gram", "cnt", (F.col("cnt") / F.col("doc_total")).alias("tf")))
         g = (tf.groupBy("corpus", "n", "gram")
              .agg(F.sum("cnt").alias("total_cnt"), F.count(F.lit(1)).alias("df"), F.sum("tf").alias("sum_tf"))

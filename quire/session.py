@@ -24,10 +24,15 @@ DEFAULTS = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "quire") -> SparkSession:
+              app_name: str = "quire", driver_memory: str | None = None) -> SparkSession:
+    """Session with the defaults above.  ``driver_memory`` only matters for
+    local mode (the driver JVM is the executor there) and only before the
+    JVM starts."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     for k, v in DEFAULTS.items():
         builder = builder.config(k, v)
     if shuffle_partitions:

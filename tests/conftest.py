@@ -18,7 +18,7 @@ def spark():
 
     from quire.session import DEFAULTS, ensure_checkpoint_dir
     b = (SparkSession.builder.master("local[*]").appName("quire-tests")
-         .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
          .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false"))
     for k, v in DEFAULTS.items():
         b = b.config(k, v)

@@ -79,7 +79,7 @@ def main():
     if args and args[0].startswith("/"):
         sf_dir, args = args[0], args[1:]
     names = args or sorted(QUERIES)
-    spark = get_spark("local[8]", 8)
+    spark = get_spark("local[8]", 8, driver_memory="16g")
     con = duck(sf_dir)
     bad = 0
     for n in names:
