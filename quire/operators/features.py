@@ -22,34 +22,31 @@ MIN_DF, MAX_DF, MAX_FEATURES, K_BEST = 2, 0.4, 5000, 1000
 # ---------------------------------------------------------------------------
 
 
-def terms_of(text: Column, ngram_max: int = 2) -> Column:
-    """Lower-cased word 1..ngram_max-grams of a text, as strings."""
-    toks = F.regexp_extract_all(F.lower(text), F.lit(TOKEN_RE), 0)
-    out = toks
-    for n in range(2, ngram_max + 1):
-        last = F.size(toks) - n + 1
-        grams = F.when(last < 1, F.array().cast("array<string>")).otherwise(
-            F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
-                        lambda i: F.array_join(F.slice(toks, i, n), " ")))
-        out = F.concat(out, grams)
-    return out
-
-
 def term_frequencies(docs: DataFrame, id_col: str, text_col: str, ngram_max: int = 2) -> DataFrame:
-    """(id, term, tf) -- exploded terms are partitioned by id once."""
-    t = docs.select(F.col(id_col).alias("id"), F.explode(terms_of(F.col(text_col), ngram_max)).alias("term"))
+    """(id, term, tf) of lower-cased word 1..ngram_max-grams.
+
+    Word n-grams come from Spark ML's ``NGram`` (compiled per-row code);
+    the exploded terms are hash-partitioned by row id once, which both the
+    (id, term) count and any later per-row window reuse."""
+    from pyspark.ml.feature import NGram
+    d = docs.select(F.col(id_col).alias("id"),
+                    F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_RE), 0).alias("__t1"))
+    for n in range(2, ngram_max + 1):
+        d = NGram(n=n, inputCol="__t1", outputCol=f"__t{n}").transform(d)
+    t = d.select("id", F.explode(F.concat(*[F.col(f"__t{n}") for n in range(1, ngram_max + 1)])).alias("term"))
     return t.repartition("id").groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def tfidf_fit(docs: DataFrame, id_col: str, text_col: str, min_df: int = MIN_DF, max_df: float = MAX_DF,
-              max_features: int = MAX_FEATURES, ngram_max: int = 2) -> DataFrame:
+              max_features: int = MAX_FEATURES, ngram_max: int = 2, tf: DataFrame | None = None) -> DataFrame:
     """vocabulary ``(term, df, total_cnt, idf)``.
 
     Keep min_df <= df <= max_df * N, then the max_features terms with the
     largest total count (ties: smaller term); idf = ln((1 + N) / (1 + df)) + 1.
+    ``tf`` may pass precomputed term frequencies of ``docs``.
     """
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    tf = term_frequencies(docs, id_col, text_col, ngram_max)
+    tf = term_frequencies(docs, id_col, text_col, ngram_max) if tf is None else tf
     st = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total_cnt"))
     st = st.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n_docs))
     top = st.orderBy(F.desc("total_cnt"), F.asc("term")).limit(max_features)
@@ -58,11 +55,12 @@ def tfidf_fit(docs: DataFrame, id_col: str, text_col: str, min_df: int = MIN_DF,
 
 
 def tfidf_transform(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: str,
-                    ngram_max: int = 2) -> DataFrame:
+                    ngram_max: int = 2, tf: DataFrame | None = None) -> DataFrame:
     """``(id, term, weight)`` = (1 + ln tf) * idf, L2-normalised per
     row over the vocabulary terms; terms outside the vocabulary are dropped.
-    The vocabulary is bounded by ``max_features``, so it is broadcast."""
-    tf = term_frequencies(docs, id_col, text_col, ngram_max)
+    The vocabulary is bounded by ``max_features``, so it is broadcast; the
+    norm window runs on the tf partitioning (no extra shuffle)."""
+    tf = term_frequencies(docs, id_col, text_col, ngram_max) if tf is None else tf
     w = tf.join(F.broadcast(vocab.select("term", "idf")), "term")
     w = w.withColumn("w", (1 + F.log("tf")) * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("id")))

@@ -109,3 +109,14 @@ def update(m: DataFrame, cell: tuple[int, int, float] | None = None,
         ci, cj, cv = cell
         v = F.when((F.col("i") == ci) & (F.col("j") == cj), F.lit(float(cv))).otherwise(v)
     return m.select("i", "j", v.alias("v"))
+
+
+def latent_grid(points: DataFrame, n: int, lo: float = -1.0, hi: float = 1.0) -> DataFrame:
+    """V9: an n x n grid of 2-d points, x = linspace(lo, hi, n) and
+    y = reversed linspace, one row per (row, col); ``points`` supplies the
+    session (the grid itself is generated by Spark, one row per grid row)."""
+    step = (hi - lo) / (n - 1) if n > 1 else 0.0
+    rows = points.sparkSession.range(n).select(F.col("id").alias("r"))
+    g = rows.select("r", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("c"))
+    return g.select(F.col("r").cast("bigint").alias("row"), F.col("c").cast("bigint").alias("col"),
+                    (F.lit(lo) + F.col("c") * step).alias("x"), (F.lit(hi) - F.col("r") * step).alias("y"))

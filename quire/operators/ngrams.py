@@ -164,7 +164,23 @@ def context_of_prefix(prefix_tokens) -> Column:
     return F.struct(F.element_at(p, -2).alias("w2"), F.element_at(p, -1).alias("w1"))
 
 
-def best_next_token(contexts: DataFrame, counts: DataFrame, totals: DataFrame) -> DataFrame:
+def model_tables(counts: DataFrame, totals: DataFrame) -> dict[str, DataFrame]:
+    """Split the count table once into the keyed tables the predictors use:
+    uni(corpus, w, c1), bi(corpus, w1, w, c2), tri(corpus, w2, w1, w, c3),
+    ctx3(corpus, ctx3, d3) and totals."""
+    uni = counts.filter(F.col("n") == 1).select("corpus", F.col("gram").alias("w"), F.col("cnt").alias("c1"))
+    bi = counts.filter(F.col("n") == 2).select("corpus", F.split("gram", " ").alias("g"), F.col("gram").alias("ctx3"),
+                                               F.col("cnt").alias("c2"))
+    bi = bi.select("corpus", F.col("g")[0].alias("w1"), F.col("g")[1].alias("w"), "ctx3", "c2")
+    tri = counts.filter(F.col("n") == 3).select("corpus", F.split("gram", " ").alias("g"), F.col("cnt").alias("c3"))
+    tri = tri.select("corpus", F.col("g")[0].alias("w2"), F.col("g")[1].alias("w1"), F.col("g")[2].alias("w"), "c3")
+    return {"uni": uni, "bi": bi.drop("ctx3"), "tri": tri,
+            "ctx3": bi.select("corpus", "ctx3", F.col("c2").alias("d3")),
+            "totals": totals.select("corpus", "total", "vocab")}
+
+
+def best_next_token(contexts: DataFrame, counts: DataFrame | None, totals: DataFrame | None,
+                    tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """Most probable next token for each distinct (corpus, w2, w1).
 
     Exact pruning.  The score of a candidate w is A(w) + B(w1, w) + C(w2, w1, w)
@@ -174,24 +190,15 @@ def best_next_token(contexts: DataFrame, counts: DataFrame, totals: DataFrame) -
     successors plus the top unigram, for the same reason one level down)
     beats every trigram-less candidate even when it has a trigram.  So the
     candidates are: seen trigram successors of (w2, w1) plus best_AB(w1).
-    Ties: higher probability, then smaller token.
+    Ties: higher probability, then smaller token.  ``tables`` may pass
+    :func:`model_tables` output prepared once (e.g. for many rounds).
     """
+    t_ = tables if tables is not None else model_tables(counts, totals)
+    uni, bi, tri, t = t_["uni"], t_["bi"], t_["tri"], t_["totals"]
     ctx = contexts.select("corpus", "w2", "w1").distinct()
-    uni = counts.filter(F.col("n") == 1).select("corpus", F.col("gram").alias("w"), F.col("cnt").alias("c1"))
     cand_uni = uni.filter(~F.col("w").isin(BOS, EOS))
-    bi = counts.filter(F.col("n") == 2).select(
-        "corpus", F.split("gram", " ").alias("g"), F.col("cnt").alias("c2"))
-    bi = bi.select("corpus", F.col("g")[0].alias("w1"), F.col("g")[1].alias("w"), "c2")
-    tri = counts.filter(F.col("n") == 3).select(
-        "corpus", F.split("gram", " ").alias("g"), F.col("cnt").alias("c3"))
-    tri = tri.select("corpus", F.col("g")[0].alias("w2"), F.col("g")[1].alias("w1"),
-                     F.col("g")[2].alias("w"), "c3")
-
     d2 = uni.select("corpus", F.col("w").alias("w1"), F.col("c1").alias("d2"))
-    d3 = counts.filter(F.col("n") == 2).select(
-        "corpus", F.col("gram").alias("ctx3"), F.col("cnt").alias("d3"))
-
-    t = totals.select("corpus", "total", "vocab")
+    d3 = t_["ctx3"]
     # top unigram per corpus (boundary marks excluded), ties to the smaller token
     top_uni = (cand_uni.withColumn("rk", F.row_number().over(
         Window.partitionBy("corpus").orderBy(F.desc("c1"), F.asc("w")))).filter("rk = 1")
@@ -205,14 +212,14 @@ def best_next_token(contexts: DataFrame, counts: DataFrame, totals: DataFrame) -
         .join(bi, ["corpus", "w1", "w"], "left").withColumn("c2", F.coalesce("c2", F.lit(0)))
     ab = ab_bi.select("corpus", "w1", "w", "c1", "c2").unionByName(
         ab_top.select("corpus", "w1", "w", "c1", "c2"))
-    ab = ab.join(d2, ["corpus", "w1"], "left").join(t, "corpus")
+    ab = ab.join(d2, ["corpus", "w1"], "left").join(F.broadcast(t), "corpus")
     ab = ab.withColumn(
         "ab", F.lit(LAMBDA_UNI) * (F.col("c1") + 1) / (F.col("total") + F.col("vocab"))
         + F.lit(LAMBDA_BI) * (F.col("c2") + 1) / (F.coalesce("d2", F.lit(0)) + F.col("vocab")))
     wab = Window.partitionBy("corpus", "w1").orderBy(F.desc("ab"), F.asc("w"))
     best_ab = ab.withColumn("rk", F.row_number().over(wab)).filter("rk = 1").select("corpus", "w1", "w")
 
-    tri_c = tri.join(ctx, ["corpus", "w2", "w1"], "left_semi").join(cand_uni, ["corpus", "w"]) \
+    tri_c = tri.join(ctx, ["corpus", "w2", "w1"], "left_semi").join(cand_uni.select("corpus", "w"), ["corpus", "w"]) \
         .select("corpus", "w2", "w1", "w")
     cands = tri_c.unionByName(ctx.join(best_ab, ["corpus", "w1"]).select("corpus", "w2", "w1", "w")).distinct()
     scored = (cands.join(uni, ["corpus", "w"])
@@ -221,7 +228,7 @@ def best_next_token(contexts: DataFrame, counts: DataFrame, totals: DataFrame) -
               .join(d2, ["corpus", "w1"], "left")
               .withColumn("ctx3", F.concat_ws(" ", "w2", "w1"))
               .join(d3, ["corpus", "ctx3"], "left")
-              .join(t, "corpus"))
+              .join(F.broadcast(t), "corpus"))
     scored = scored.select(
         "corpus", "w2", "w1", F.col("w").alias("token"),
         _interpolate(F.col("c1"), F.coalesce("c2", F.lit(0)), F.coalesce("d2", F.lit(0)),

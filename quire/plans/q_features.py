@@ -17,15 +17,19 @@ from quire.operators.sampling import random_split
 from quire.operators.tables import label_encode, rank_labels
 from quire.plans.common import SQL_DOC_SENTENCES, doc_sentences
 from quire.plans.registry import query
+from quire.session import cut_lineage
 from quire.sources.tables import table
 
 SEED = 42
 
 
 def tfidf_docs(spark, sf_dir) -> DataFrame:
+    """Tokenised sentences, materialised once in the shared checkpoint folder:
+    the TF-IDF / chi-square plans read them four times (terms, row count,
+    class ranks, class shares), and the regex work should run once."""
     s = doc_sentences(spark, sf_dir)
-    return s.select(F.concat_ws("-", "doc_id", "para_no", "sent_no").alias("id"), "source", "lang",
-                    "doc_id", "para_no", "sentence_text")
+    return cut_lineage(s.select(F.concat_ws("-", "doc_id", "para_no", "sent_no").alias("id"), "source", "lang",
+                    "doc_id", "para_no", "sentence_text"))
 
 
 def doc_classes(docs: DataFrame) -> DataFrame:
@@ -83,15 +87,17 @@ SELECT id, term, round(weight, 6) AS weight FROM w
 def q_tfidf_weights(spark, sf_dir):
     """sublinear TF x smoothed IDF, L2-normalised per sentence."""
     d = tfidf_docs(spark, sf_dir)
-    v = FT.tfidf_fit(d, "id", "sentence_text")
-    w = FT.tfidf_transform(d, v, "id", "sentence_text")
+    tf = FT.term_frequencies(d, "id", "sentence_text")
+    v = FT.tfidf_fit(d, "id", "sentence_text", tf=tf)
+    w = FT.tfidf_transform(d, v, "id", "sentence_text", tf=tf)
     return w.select("id", "term", F.round("weight", 6).alias("weight"))
 
 
 def _selected(spark, sf_dir):
     d = tfidf_docs(spark, sf_dir)
-    v = FT.tfidf_fit(d, "id", "sentence_text")
-    w = FT.tfidf_transform(d, v, "id", "sentence_text")
+    tf = FT.term_frequencies(d, "id", "sentence_text")
+    v = FT.tfidf_fit(d, "id", "sentence_text", tf=tf)
+    w = FT.tfidf_transform(d, v, "id", "sentence_text", tf=tf)
     return v, FT.chi2_select(w, doc_classes(d))
 
 

@@ -13,6 +13,7 @@ from quire.operators import ngrams as N
 from quire.operators.fill import fill_masks
 from quire.plans.common import SQL_DOC_SENTENCES, doc_sentences
 from quire.plans.registry import query
+from quire.session import cut_lineage
 
 SEED = 42
 MASK_CORPUS, MODEL_CORPUS, OTHER_CORPUS = "fr", "en", "fr"   # sentences, filling model, second model
@@ -27,7 +28,9 @@ def lm_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lm_model(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    s = lm_sentences(spark, sf_dir)
+    """Sentences (materialised once: the model and the scoring both read
+    them) with the count and total tables."""
+    s = cut_lineage(lm_sentences(spark, sf_dir))
     counts = N.ngram_counts(s)
     return s, counts, N.totals_from_counts(counts)
 

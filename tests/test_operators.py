@@ -145,3 +145,10 @@ def test_word_vectors_vocab_guard(spark):
     assert v.count() == 4 and len(v.first()["vector"]) == 8
     with pytest.raises(ValueError, match="raise min_count"):
         MD.train_word_vectors(s, dim=8, min_count=1, max_vocab=2)
+
+
+def test_latent_grid(spark):
+    from quire.operators.matrix import latent_grid
+    g = latent_grid(spark.range(1), 3, -1.0, 1.0).orderBy("row", "col").collect()
+    assert [(r["x"], r["y"]) for r in g[:3]] == [(-1.0, 1.0), (0.0, 1.0), (1.0, 1.0)]
+    assert g[-1]["y"] == -1.0 and len(g) == 9
