@@ -52,7 +52,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="quire-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: point it at a folder shared by the cluster")
+        conf_dir = tempfile.mkdtemp(prefix="quire-ckpt-")      # local runs and tests only
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
