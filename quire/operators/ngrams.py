@@ -25,6 +25,7 @@ BOS = "s_1"                      # start mark (twice before a sentence)
 EOS = "s_2"                      # end mark
 LAMBDA_UNI, LAMBDA_BI, LAMBDA_TRI = 0.99, 0.003, 0.007
 # ---------------------------------------------------------------------------
+BROADCAST_CONTEXTS = 200_000     # distinct contexts small enough to broadcast as a filter
 
 
 def _c(c) -> Column:
@@ -179,6 +180,41 @@ def model_tables(counts: DataFrame, totals: DataFrame) -> dict[str, DataFrame]:
             "totals": totals.select("corpus", "total", "vocab")}
 
 
+def _best_ab(need_w1: DataFrame, uni: DataFrame, bi: DataFrame, d2: DataFrame, t: DataFrame) -> DataFrame:
+    """argmax over w of A(w) + B(w1, w) for every needed w1: the seen bigram
+    successors of w1 plus the top unigram (ties: smaller token)."""
+    cand_uni = uni.filter(~F.col("w").isin(BOS, EOS))
+    top_uni = (cand_uni.withColumn("rk", F.row_number().over(
+        Window.partitionBy("corpus").orderBy(F.desc("c1"), F.asc("w")))).filter("rk = 1")
+        .select("corpus", "w"))
+    ab_bi = bi.join(need_w1, ["corpus", "w1"], "left_semi").join(cand_uni, ["corpus", "w"])
+    ab_top = need_w1.join(top_uni, "corpus").join(cand_uni, ["corpus", "w"]) \
+        .join(bi, ["corpus", "w1", "w"], "left").withColumn("c2", F.coalesce("c2", F.lit(0)))
+    ab = ab_bi.select("corpus", "w1", "w", "c1", "c2").unionByName(
+        ab_top.select("corpus", "w1", "w", "c1", "c2"))
+    ab = ab.join(d2, ["corpus", "w1"], "left").join(F.broadcast(t), "corpus")
+    ab = ab.withColumn(
+        "ab", F.lit(LAMBDA_UNI) * (F.col("c1") + 1) / (F.col("total") + F.col("vocab"))
+        + F.lit(LAMBDA_BI) * (F.col("c2") + 1) / (F.coalesce("d2", F.lit(0)) + F.col("vocab")))
+    wab = Window.partitionBy("corpus", "w1").orderBy(F.desc("ab"), F.asc("w"))
+    return ab.withColumn("rk", F.row_number().over(wab)).filter("rk = 1").select("corpus", "w1", "w")
+
+
+def with_best_ab(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Precompute best_AB for every w1 of the vocabulary (one pass over the
+    bigram table), for callers that ask for next tokens many times."""
+    uni = tables["uni"]
+    all_w1 = uni.select("corpus", F.col("w").alias("w1"))
+    d2 = uni.select("corpus", F.col("w").alias("w1"), F.col("c1").alias("d2"))
+    out = dict(tables)
+    out["best_ab"] = _best_ab(all_w1, uni, tables["bi"], d2, tables["totals"])
+    cand = uni.filter(~F.col("w").isin(BOS, EOS))
+    out["top_uni"] = (cand.withColumn("rk", F.row_number().over(
+        Window.partitionBy("corpus").orderBy(F.desc("c1"), F.asc("w")))).filter("rk = 1")
+        .select("corpus", F.col("w").alias("top_w")))
+    return out
+
+
 def best_next_token(contexts: DataFrame, counts: DataFrame | None, totals: DataFrame | None,
                     tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """Most probable next token for each distinct (corpus, w2, w1).
@@ -196,31 +232,29 @@ def best_next_token(contexts: DataFrame, counts: DataFrame | None, totals: DataF
     t_ = tables if tables is not None else model_tables(counts, totals)
     uni, bi, tri, t = t_["uni"], t_["bi"], t_["tri"], t_["totals"]
     ctx = contexts.select("corpus", "w2", "w1").distinct()
+    # Broadcast the context keys behind a size check: below the bound the
+    # bigram / trigram tables are filtered by a broadcast semi-join while
+    # being scanned (no shuffle of the big tables); above it, shuffle joins.
+    n_ctx = ctx.count()
+    small = n_ctx <= BROADCAST_CONTEXTS
+    bc = F.broadcast if small else (lambda d: d)
+    need_w1 = ctx.select("corpus", "w1").distinct()
+    bi = bi.join(bc(need_w1), ["corpus", "w1"], "left_semi")
+    tri = tri.join(bc(ctx), ["corpus", "w2", "w1"], "left_semi")
     cand_uni = uni.filter(~F.col("w").isin(BOS, EOS))
-    d2 = uni.select("corpus", F.col("w").alias("w1"), F.col("c1").alias("d2"))
-    d3 = t_["ctx3"]
-    # top unigram per corpus (boundary marks excluded), ties to the smaller token
-    top_uni = (cand_uni.withColumn("rk", F.row_number().over(
-        Window.partitionBy("corpus").orderBy(F.desc("c1"), F.asc("w")))).filter("rk = 1")
-        .select("corpus", "w"))
-
-    # best A + B per needed w1
+    d2 = uni.select("corpus", F.col("w").alias("w1"), F.col("c1").alias("d2")) \
+        .join(bc(need_w1), ["corpus", "w1"], "left_semi")
+    ctx3_keys = ctx.select("corpus", F.concat_ws(" ", "w2", "w1").alias("ctx3"))
+    d3 = t_["ctx3"].join(bc(ctx3_keys), ["corpus", "ctx3"], "left_semi")
     need_w1 = ctx.select("corpus", "w1").distinct()
-    ab_bi = (bi.join(need_w1, ["corpus", "w1"], "left_semi")
-             .join(cand_uni, ["corpus", "w"]))
-    ab_top = need_w1.join(top_uni, "corpus").join(cand_uni, ["corpus", "w"]) \
-        .join(bi, ["corpus", "w1", "w"], "left").withColumn("c2", F.coalesce("c2", F.lit(0)))
-    ab = ab_bi.select("corpus", "w1", "w", "c1", "c2").unionByName(
-        ab_top.select("corpus", "w1", "w", "c1", "c2"))
-    ab = ab.join(d2, ["corpus", "w1"], "left").join(F.broadcast(t), "corpus")
-    ab = ab.withColumn(
-        "ab", F.lit(LAMBDA_UNI) * (F.col("c1") + 1) / (F.col("total") + F.col("vocab"))
-        + F.lit(LAMBDA_BI) * (F.col("c2") + 1) / (F.coalesce("d2", F.lit(0)) + F.col("vocab")))
-    wab = Window.partitionBy("corpus", "w1").orderBy(F.desc("ab"), F.asc("w"))
-    best_ab = ab.withColumn("rk", F.row_number().over(wab)).filter("rk = 1").select("corpus", "w1", "w")
+    if "best_ab" in t_:
+        # a w1 outside the vocabulary has no bigram: its best is the top unigram
+        best_ab = (need_w1.join(t_["best_ab"], ["corpus", "w1"], "left").join(t_["top_uni"], "corpus")
+                   .select("corpus", "w1", F.coalesce("w", "top_w").alias("w")))
+    else:
+        best_ab = _best_ab(need_w1, uni, bi, d2, t)
 
-    tri_c = tri.join(ctx, ["corpus", "w2", "w1"], "left_semi").join(cand_uni.select("corpus", "w"), ["corpus", "w"]) \
-        .select("corpus", "w2", "w1", "w")
+    tri_c = tri.join(cand_uni.select("corpus", "w"), ["corpus", "w"]).select("corpus", "w2", "w1", "w")
     cands = tri_c.unionByName(ctx.join(best_ab, ["corpus", "w1"]).select("corpus", "w2", "w1", "w")).distinct()
     scored = (cands.join(uni, ["corpus", "w"])
               .join(bi, ["corpus", "w1", "w"], "left")

@@ -97,7 +97,8 @@ def test_best_next_token_matches_full_scan(spark, model):
 
 def test_fill_masks_matches_sequential_fill(spark, model):
     s, counts, totals, b = model
-    masked = [["[*]", "[*]", "sat", "[*]", "the", "[*]"], ["the", "[*]", "[*]", "[*]"], ["a", "cat"]]
+    masked = [["[*]", "[*]", "sat", "[*]", "the", "[*]"], ["the", "[*]", "[*]", "[*]"], ["a", "cat"],
+              ["zebra", "[*]", "quokka", "ibis", "[*]"]]           # contexts outside the vocabulary
     df = spark.createDataFrame([(i, m, "m") for i, m in enumerate(masked)],
                                "sid long, masked array<string>, corpus string")
     out = {r["sid"]: r for r in fill_masks(df, counts, totals).collect()}
