@@ -4,12 +4,15 @@
    the band keys of a circulant MinHash signature (two permutations, one of
    them shifted circularly, generate all coordinates).  Texts with equal sets
    become one class; from here on copies cost nothing, however many there are.
-2. Classes that share a band key are linked with the least class of that bucket
-   (a star, never all pairs); each link is confirmed on the full shingle sets.
-3. Buckets that still hold several components are compared block by block on
-   whole signatures, across components only; what looks similar is confirmed
-   on the full sets again.  So no pair that banding found is given up because
-   the star's centre was not the right partner.
+2. Classes that share a band key are linked with the class of that bucket that
+   shares most keys with others, as an original does with its copies (a star,
+   never all pairs); each link is confirmed on the full shingle sets.
+3. Buckets that still hold several components are compared block by block: an
+   inverted index of a block's shingles counts what a text has in common with
+   all others at once, and a link joins two components for the rest of the
+   block.  So no pair that banding found is given up because the star's centre
+   was not its partner, and a block returns links, fewer than it has rows,
+   never its pairs.
 4. Components come from star contraction of the confirmed links.
 
 Missed links: a pair at similarity 0.75 shares none of the 32 bands of four
@@ -40,9 +43,7 @@ from quire.llm.packing import pack_texts, unpack
 #: bands, and signature coordinates of each band
 BANDS, ROWS = 32, 4
 #: rows of one block when a bucket with several components is compared
-BLOCK = 1024
-#: signature agreement below which a pair of the second round is not verified (7 standard errors below 0.75)
-LIKELY = 0.5
+BLOCK = 512
 #: bytes of shingle sets a verifying task keeps for reuse
 CACHE_BYTES = 64 << 20
 
@@ -73,53 +74,70 @@ def _sketches(words: int, bands: int):
     return run
 
 
+class _Sets:
+    """Shingle sets of packed texts, the latest kept up to a bound of bytes."""
+
+    def __init__(self, words: int, percent: int):
+        self.words, self.percent, self.held = words, percent, 0
+        self.cache: OrderedDict[int, np.ndarray] = OrderedDict()
+
+    def get(self, cls: int, packed: bytes) -> np.ndarray:
+        if cls in self.cache:
+            self.cache.move_to_end(cls)
+            return self.cache[cls]
+        _, x = next(K.shingle_sets(pa.array([unpack(packed)], pa.large_binary()), self.words))
+        self.cache[cls] = x
+        self.held += x.nbytes
+        while self.held > CACHE_BYTES and len(self.cache) > 2:
+            self.held -= self.cache.popitem(last=False)[1].nbytes
+        return x
+
+    def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
+        """100 * |both| >= percent * |either|"""
+        if 100 * min(len(a), len(b)) < self.percent * max(len(a), len(b)):
+            return False
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        return 100 * both >= self.percent * (len(a) + len(b) - both)
+
+
 def _verify(words: int, percent: int):
-    """Keeps the pairs (u, v, tu, tv) whose sets have 100 * |both| >= percent * |either|."""
+    """Keeps the linked pairs of (u, v, tu, tv)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: OrderedDict[int, np.ndarray] = OrderedDict()
-        held = 0
-
-        def shingles(node, packed):
-            nonlocal held
-            if node in cache:
-                cache.move_to_end(node)
-                return cache[node]
-            _, x = next(K.shingle_sets(pa.array([unpack(packed)], pa.large_binary()), words))
-            cache[node] = x
-            held += x.nbytes
-            while held > CACHE_BYTES and len(cache) > 2:
-                held -= cache.popitem(last=False)[1].nbytes
-            return x
-
+        sets = _Sets(words, percent)
         for batch in batches:
             us, vs = batch.column("u").to_pylist(), batch.column("v").to_pylist()
             tu, tv = batch.column("tu"), batch.column("tv")
-            keep = []
-            for i, (u, v) in enumerate(zip(us, vs)):
-                a, b = shingles(u, tu[i].as_py()), shingles(v, tv[i].as_py())
-                if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-                    continue
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                if 100 * both >= percent * (len(a) + len(b) - both):
-                    keep.append(i)
+            keep = [i for i, (u, v) in enumerate(zip(us, vs))
+                    if sets.linked(sets.get(u, tu[i].as_py()), sets.get(v, tv[i].as_py()))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([us[i] for i in keep], pa.int64()), pa.array([vs[i] for i in keep], pa.int64())], names=["u", "v"])
     return run
 
 
-def _likely(least: float):
-    """Pairs of different components in one block pair whose signatures agree in a share of at least ``least``."""
+def _across(words: int, percent: int):
+    """Links between components inside one block pair of one bucket (no annotations: Spark would read them)."""
     def run(t):
         cls, comp, side = (t.column(c).to_numpy() for c in ("cls", "comp", "side"))
-        sig = t.column("bands").combine_chunks().flatten().to_numpy().reshape(len(cls), -1).view(np.uint16)
-        left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
-        us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i in left:
-            j = right[comp[right] != comp[i]]
-            j = j[(sig[j] == sig[i]).sum(axis=1) >= least * sig.shape[1]]
-            us.append(np.minimum(cls[i], cls[j])), vs.append(np.maximum(cls[i], cls[j]))
-        pairs = np.unique(np.stack([np.concatenate(us), np.concatenate(vs)]), axis=1)
-        return pa.table({"u": pa.array(pairs[0], pa.int64()), "v": pa.array(pairs[1], pa.int64())})
+        texts = pa.array([unpack(x.as_py()) for x in t.column("packed")], pa.large_binary())
+        sets = [x for _, x in K.shingle_sets(texts, words)]
+        size = np.array([len(x) for x in sets])
+        _, column = np.unique(np.concatenate(sets), return_inverse=True)
+        rows = np.repeat(np.arange(len(sets)), size)[np.argsort(column, kind="stable")]
+        begin = np.append(0, np.cumsum(np.bincount(column)))
+        own = np.append(0, np.cumsum(size))
+        _, group = np.unique(comp, return_inverse=True)
+        links = []
+        for i in np.flatnonzero(side != 2).tolist():
+            other = (side != 1) & (group != group[i])
+            if not other.any():
+                continue
+            both = np.bincount(np.concatenate([rows[begin[c]:begin[c + 1]] for c in column[own[i]:own[i + 1]].tolist()]), minlength=len(sets))
+            for j in np.flatnonzero(other & (100 * both >= percent * (size + size[i] - both))).tolist():
+                if group[j] != group[i]:
+                    links.append((min(cls[i], cls[j]), max(cls[i], cls[j])))
+                    group[group == group[j]] = group[i]
+        u, v = zip(*links) if links else ((), ())
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
     return run
 
 
@@ -139,9 +157,13 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
                           .agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "classes")
     members = classes.select(F.posexplode("bands").alias("band", "word"), "cls").select(
         F.xxhash64("band", "word").alias("key"), "cls")
-    shared = members.groupBy("key").agg(F.min("cls").alias("hub"), F.max("cls").alias("top")).where("hub <> top")
-    member = materialise(members.join(shared.select("key", "hub"), "key"), "members")
-    star = materialise(member.where("cls <> hub").select(F.col("hub").alias("u"), F.col("cls").alias("v")).distinct(), "star")
+    sizes = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    member = materialise(members.join(sizes, "key"), "members")
+    central = member.groupBy("cls").agg(F.sum("n").alias("shared"))
+    member = materialise(member.join(central, "cls"), "members")
+    hubs = member.groupBy("key").agg(F.max(F.struct("shared", "cls")).alias("hub")).select("key", F.col("hub.cls").alias("hub"))
+    star = materialise(member.join(hubs, "key").where("cls <> hub").select(
+        F.least("hub", "cls").alias("u"), F.greatest("hub", "cls").alias("v")).distinct(), "star")
     wanted = star.select(F.col("u").alias("cls")).union(star.select(F.col("v").alias("cls"))).distinct()
     # of each class, the text of its least id; the equal texts of a repeated id count once
     texts = materialise(pack_texts(base).join(classes.join(wanted, "cls").select("cls", "id"), "id")
@@ -151,14 +173,13 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
         "key", "cls", F.coalesce("root", "cls").alias("comp"))
     mixed = (state.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("n"))
              .where("a <> b").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    open_rows = materialise(state.join(mixed, "key").join(classes.select("cls", "bands"), "cls")
-                            .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")), "open")
+    open_rows = (state.join(mixed, "key").join(texts, "cls")
+                 .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")))
     part = (open_rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cls", "comp", "bands",
+            .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cls", "comp", "packed",
                     F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2).alias("side")))
-    more = (part.groupBy("key", "i", "j").applyInArrow(_likely(LIKELY), "u long, v long").distinct()
-            .join(star, ["u", "v"], "left_anti"))
-    return sketches, links.unionByName(materialise(_confirmed(materialise(more, "more"), texts, words, percent), "links"))
+    more = part.groupBy("key", "i", "j").applyInArrow(_across(words, percent), "u long, v long").distinct()
+    return sketches, links.unionByName(materialise(more, "links"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
