@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from quire.llm.common import materialise, read_table
 from quire.llm.decontaminate import drop_contaminated
 from quire.llm.minhash_dedup import drop_near_duplicates
+from quire.llm.mixing import take_mix
+from quire.llm.token_output import write_training_order
 from quire.llm.toxicity import drop_toxic, fit
 
 
@@ -25,7 +27,18 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("decontamination", decontamination)]
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    return take_mix(docs)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Shards of token ids in training order; one row per sequence."""
+    return write_training_order(docs)
+
+
+STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("decontamination", decontamination), ("mixing", mixing),
+          ("token_output", token_output)]
 
 #: a trained model and a tokenizer have no SQL; the tests hold each stage against brute force
 ORACLE_SQL = None

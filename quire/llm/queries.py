@@ -8,8 +8,14 @@ from pyspark.sql import functions as F
 from quire.llm import sql
 from quire.llm.common import read_table
 from quire.llm.decontaminate import contaminated
+from quire.llm.fingerprints import fingerprints
+from quire.llm.html_extract import extract_text
+from quire.llm.line_dedup import drop_shared_lines
 from quire.llm.minhash_dedup import near_duplicates
+from quire.llm.mixing import mix
+from quire.llm.pii import personal_data
 from quire.llm.substring_dedup import remove_repeated_spans
+from quire.llm.token_output import write_training_order
 from quire.llm.toxicity import HELD_OUT, fit, fold_of, score
 
 
@@ -25,14 +31,42 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+def op4_mixing_to_target_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read_table(spark, sf_dir, "documents"))
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = drop_shared_lines(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeated_spans(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = personal_data(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_toxicity, op7_substring_dedup, op9_benchmark_decontamination)}
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return write_training_order(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_minhash_near_dedup, op2_toxicity, op3_document_fingerprints, op4_mixing_to_target_weights, op5_html_extraction, op6_line_dedup,
+    op7_substring_dedup, op8_pii, op9_benchmark_decontamination, op10_token_output)}
 ORACLES = dict(sql.ORACLES)

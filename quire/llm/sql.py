@@ -2,4 +2,60 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TRIM = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+OP6 = f"""
+WITH lines AS (
+  SELECT doc_id, u.line, u.i AS pos, translate(trim(u.line, {_TRIM}), '{_UPPER}', '{_LOWER}') AS key
+  FROM documents, unnest(string_split(coalesce(text, ''), chr(10))) WITH ORDINALITY AS u(line, i)
+), often AS (
+  SELECT key, max(doc_id) AS last FROM lines WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+  SELECT l.doc_id, l.line, l.pos, o.key IS NOT NULL AND l.doc_id <> o.last AS gone
+  FROM lines l LEFT JOIN often o ON l.key = o.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+OP7 = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i AS start, array_to_string(w[i:i + 49], ' ') AS words
+  FROM words, unnest(range(1, len(w) - 48)) AS u(i) WHERE len(w) >= 50
+), firsts AS (
+  SELECT words, min(doc_id) AS first FROM windows GROUP BY words HAVING min(doc_id) <> max(doc_id)
+), covered AS (
+  SELECT DISTINCT v.doc_id, v.start + k AS pos
+  FROM windows v JOIN firsts f ON v.words = f.words AND v.doc_id > f.first, unnest(range(0, 50)) AS u(k)
+), each_word AS (
+  SELECT doc_id, u.word, u.i AS pos FROM words, unnest(w) WITH ORDINALITY AS u(word, i)
+), kept AS (
+  SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.pos) FILTER (WHERE c.pos IS NULL) AS t, count(c.pos) AS n
+  FROM each_word e LEFT JOIN covered c ON e.doc_id = c.doc_id AND e.pos = c.pos GROUP BY e.doc_id
+)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(k.n, 0)::BIGINT AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON w.doc_id = k.doc_id
+"""
+
+OP9 = r"""
+WITH grams AS (
+  SELECT 'd' AS side, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'UPPER', 'LOWER'), '[^\x20\x09-\x0D]+') AS w FROM documents
+  UNION ALL
+  SELECT 'b', item_id, regexp_extract_all(translate(coalesce(text, ''), 'UPPER', 'LOWER'), '[^\x20\x09-\x0D]+') FROM benchmark
+), shingles AS (
+  SELECT DISTINCT side, id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM grams, unnest(range(1, len(w) - 3)) AS u(i) WHERE len(w) >= 5
+), items AS (
+  SELECT id, s, count(*) OVER (PARTITION BY id) AS n FROM shingles WHERE side = 'b'
+)
+SELECT d.id AS doc_id, i.id AS item_id, any_value(i.n) AS item_shingles, count(*) AS found_shingles,
+       count(*)::DOUBLE / any_value(i.n) AS containment
+FROM items i JOIN shingles d ON d.side = 'd' AND d.s = i.s
+GROUP BY d.id, i.id HAVING 100 * count(*) >= 75 * any_value(i.n)
+""".replace("UPPER", _UPPER).replace("LOWER", _LOWER)
+
+ORACLES: dict[str, str] = {"op6_line_dedup": OP6, "op7_substring_dedup": OP7, "op9_benchmark_decontamination": OP9}
