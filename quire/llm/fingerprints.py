@@ -4,10 +4,15 @@ The lexicon keeps the terms within a band of inverse document frequency.  Its
 size has a bound that does not grow with the number of documents: terms in at
 least one of 2000 documents number at most 2000 times the mean count of
 distinct terms of a document.  So it is sent to all tasks, and the terms of a
-document, which already lie in one partition, are matched there.
-
-A fingerprint holds one hash over all in-band terms, sorted, and one hash for
-each of 32 randomised subsets of the lexicon at two densities.  Densities halve
+document, which already lie in one partition, are matched there: a first pass
+counts and hashes them, a second gathers the few that fall into the subsets of
+the document's level.
+
+A fingerprint holds one hash over the set of all in-band terms, and one hash for
+the terms of each of 32 randomised subsets of the lexicon at two densities.  A set
+is hashed as the sum of its distinct terms' hashes, which is the same in every
+order: it tells sets apart as a hash over the sorted terms would, without
+gathering and sorting them.  Densities halve
 from level to level; a document uses the level at which it has between half a
 term and one term per subset, and the next sparser one, so that texts of any
 length lose a similar share of hashes to an edit, and texts whose numbers of
@@ -27,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quire.llm.common import ascii_lower, id_key, key_to_id, materialise
+from quire.llm.common import id_key, key_to_id, materialise
 
 #: the band of inverse document frequency, as shares of documents
 LEAST_SHARE, MOST_SHARE = 1 / 2000, 0.5
@@ -36,7 +41,12 @@ _SPACES = r"[\x20\x09-\x0D]+"
 
 
 def _terms(text: Column) -> Column:
-    return F.array_distinct(F.array_remove(F.split(ascii_lower(text), _SPACES), ""))
+    return F.array_distinct(F.array_remove(F.split(F.lower(text), _SPACES), ""))
+
+
+def _same_text(a: str, b: str) -> Column:
+    """a = b as a condition beside the join key: the rows of an id lie together already and need not move again."""
+    return F.col(a).bitwiseXOR(F.col(b)) == 0
 
 
 def lexicon(texts: DataFrame, text_col: str = "text") -> DataFrame:
@@ -63,38 +73,24 @@ def _level(n: Column) -> Column:
     return F.greatest(F.lit(5), F.floor(F.log2(F.greatest(n, F.lit(1)).cast("double"))).cast("int") + 1)
 
 
-def _cells(terms: Column, level: Column) -> Column:
-    mask = F.shiftleft(F.lit(1).cast("long"), 0)
-    mask = F.pow(F.lit(2.0), level).cast("long") - mask
-    return F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), lambda k: F.transform(
-        F.array(F.filter(terms, lambda x: x.bitwiseAND(mask) == k)),
-        lambda own: F.when(F.size(own) == 0, F.lit("")).otherwise(F.hex(F.xxhash64(own).bitwiseAND(F.lit(0xFFFF)))))[0])
-
-
-def _fingerprint(terms: Column, all_terms: Column) -> Column:
-    """struct(base, level, lo, hi) of a sorted array of in-band term hashes."""
-    level = _level(F.size(terms))
-    few = F.filter(terms, lambda x: x.bitwiseAND(F.pow(F.lit(2.0), level).cast("long") - 1) < CELLS)
-    base = F.when(F.size(terms) > 0, F.xxhash64(terms)).otherwise(all_terms)
-    return F.struct(F.lower(F.hex(base)).alias("base"), level.alias("level"), _cells(few, level).alias("lo"), _cells(few, level + 1).alias("hi"))
-
-
 def _as_text(p: str) -> Column:
-    return F.lower(F.concat_ws("-", F.col(f"{p}.base"), F.col(f"{p}.level").cast("string"),
-                               F.concat_ws(".", f"{p}.lo"), F.concat_ws(".", f"{p}.hi")))
+    return F.concat_ws("-", F.lower(F.hex(f"{p}.base")), F.col(f"{p}.level").cast("string"),
+                       *(F.array_join(F.col(f"{p}.{x}").cast("array<string>"), ".") for x in ("lo", "hi")))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of agreeing subset hashes of two fingerprints, 0 to 1; 1 for equal in-band terms."""
-    def share(pairs):
-        agree, any_ = F.lit(0), F.lit(0)
-        for on, x, y in pairs:
-            agree += F.when(on, F.size(F.filter(F.zip_with(x, y, lambda p, q: (p == q) & (p != "")), lambda z: z))).otherwise(0)
-            any_ += F.when(on, F.size(F.filter(F.zip_with(x, y, lambda p, q: (p != "") | (q != "")), lambda z: z))).otherwise(0)
-        return F.when(any_ > 0, agree / any_).otherwise(0.0)
+    def share(x, y):
+        place = lambda z: F.transform(z, lambda c: F.shiftright(c, 16))
+        either = F.size(F.array_union(place(x), place(y)))
+        return F.struct(F.size(F.array_intersect(x, y)).alias("agree"), either.alias("either"))
     gap = a["level"] - b["level"]
-    part = share([(gap == 0, a["lo"], b["lo"]), (gap == 0, a["hi"], b["hi"]), (gap == 1, a["lo"], b["hi"]), (gap == -1, a["hi"], b["lo"])])
-    return F.when(a["base"] == b["base"], F.lit(1.0)).otherwise(part)
+    same = F.array(share(a["lo"], b["lo"]), share(a["hi"], b["hi"]))
+    parts = F.when(gap == 0, same).when(gap == 1, F.array(share(a["lo"], b["hi"]))).when(gap == -1, F.array(share(a["hi"], b["lo"])))
+    total = F.aggregate(parts, F.struct(F.lit(0).alias("agree"), F.lit(0).alias("either")),
+                        lambda t, x: F.struct((t["agree"] + x["agree"]).alias("agree"), (t["either"] + x["either"]).alias("either")),
+                        lambda t: F.when(t["either"] > 0, t["agree"] / t["either"]).otherwise(0.0))
+    return F.when(a["base"] == b["base"], F.lit(1.0)).otherwise(F.coalesce(total, F.lit(0.0)))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -104,23 +100,59 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     words = F.broadcast(materialise(lexicon(base), "lexicon").withColumnRenamed("term", "in_band"))
     need = F.floor(F.char_length("text") / 4).cast("int")
     follow = materialise(_next_ids(base.groupBy("id").agg(F.max(need).alias("need"))), "next")
-    source = (base.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("tid"))).where("rank = 1")
-              .select(F.col("id").alias("next"), F.col("text").alias("from")))
-    piece = follow.join(source, "next").select("id", "next", F.expr("left(from, need)").alias("piece"))
-    rows = base.join(piece, "id").withColumn("need", need)
+    piece = (follow.join(base.select(F.col("id").alias("next"), "text", "tid"), "next")
+             .groupBy("id", "next").agg(F.min(F.struct("tid", F.expr("left(text, need)").alias("piece"))).alias("p"))
+             .select(F.col("id").alias("pid"), "next", "p.piece"))
+    rows = base.join(piece, F.col("id") == F.col("pid")).withColumn("need", need)
     rows = rows.select("id", "tid", "next", "text", F.expr("concat(left(text, char_length(text) - need), left(piece, need))").alias("edited"))
-    both = rows.select("id", "tid", F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("t")),
-                                                      F.struct(F.lit(1).alias("which"), F.col("edited").alias("t")))).alias("v"))
-    each = both.select("id", "tid", F.col("v.which").alias("which"), F.explode_outer(_terms(F.col("v.t"))).alias("t"))
-    each = each.select("id", "tid", "which", F.xxhash64("t").alias("term")).join(words, F.col("term") == F.col("in_band"), "left")
-    def gathered(w):
+
+    def versions(*more):
+        return F.explode(F.array(*(F.struct(F.lit(w).alias("which"), F.col(c).alias("t"), *(F.col(f"{m}{w}").alias(m) for m in more))
+                                   for w, c in enumerate(("text", "edited"))))).alias("v")
+
+    # first pass: number and hash of the terms; the empty term in each list counts the rows that repeat a text
+    each = rows.select("id", "tid", versions()).select("id", "tid", F.col("v.which").alias("which"), F.explode(
+        F.concat(_terms(F.col("v.t")), F.array(F.lit("")))).alias("t"))
+    each = each.select("id", "tid", "which", F.xxhash64("t").alias("term"), (F.col("t") == "").alias("mark")).join(
+        words, F.col("term") == F.col("in_band"), "left")
+    part = F.xxhash64(F.lit(1), "term").bitwiseAND(F.lit((1 << 40) - 1))
+
+    def facts_of(w):
         mine = F.col("which") == w
-        return (F.sort_array(F.collect_set(F.when(mine, F.col("in_band")))).alias(f"t{w}"),
-                F.bit_xor(F.when(mine, F.col("term"))).alias(f"all{w}"))
-    terms = each.groupBy("id", "tid").agg(*gathered(0), *gathered(1))
-    prints = terms.select("id", "tid", _fingerprint(F.col("t0"), F.col("all0")).alias("own"), _fingerprint(F.col("t1"), F.col("all1")).alias("edited"))
+        band = mine & F.col("in_band").isNotNull()
+        return (F.count(F.when(mine & F.col("mark"), 1)).alias(f"m{w}"), F.count(F.when(band, 1)).alias(f"n{w}"),
+                F.coalesce(F.sum(F.when(band, part)), F.lit(0)).alias(f"s{w}"), F.sum(F.when(mine, part)).alias(f"a{w}"))
+    stats = each.groupBy("id", "tid").agg(*facts_of(0), *facts_of(1))
+    for w in (0, 1):
+        n = F.col(f"n{w}") / F.col(f"m{w}")
+        total = F.when(F.col(f"n{w}") > 0, F.col(f"s{w}")).otherwise(F.col(f"a{w}"))
+        stats = stats.withColumn(f"level{w}", _level(n)).withColumn(f"base{w}", F.xxhash64(n, total / F.col(f"m{w}")))
+    stats = stats.select(F.col("id").alias("sid"), F.col("tid").alias("stid"), "level0", "level1", "base0", "base1", "m0", "m1",
+                         F.expr("shiftleft(1L, level0) - 1").alias("mask0"), F.expr("shiftleft(1L, level1) - 1").alias("mask1"))
+    # second pass: the in-band terms of the subsets of the level; a cell is its number and 16 bits of its hash
+    mask, low = F.col("mask"), F.lit(0xFFFF)
+    cells = (rows.join(stats.select("sid", "stid", "mask0", "mask1", "m0", "m1"), (F.col("id") == F.col("sid")) & _same_text("tid", "stid"))
+             .select("id", "tid", versions("mask", "m"))
+             .select("id", "tid", *(F.col(f"v.{c}").alias(c) for c in ("which", "mask", "m")), F.explode(_terms(F.col("v.t"))).alias("t"))
+             .select("id", "tid", "which", "mask", "m", F.xxhash64("t").alias("term")).where(F.col("term").bitwiseAND(mask) < CELLS)
+             .join(words, F.col("term") == F.col("in_band"))
+             .groupBy("id", "tid", "which", "m", F.col("term").bitwiseAND(mask).cast("int").alias("cell"))
+             .agg(F.sum(part).alias("lo"), F.sum(F.when(F.col("term").bitwiseAND(mask * 2 + 1) < CELLS, part)).alias("hi"))
+             .select(F.col("id").alias("fid"), F.col("tid").alias("ftid"), "which",
+                     *((F.col("cell") * 65536 + F.xxhash64(F.expr(f"{c} div m")).bitwiseAND(low).cast("int")).alias(c) for c in ("lo", "hi")),
+                     F.col("hi").isNotNull().alias("sparse")))
+    few = cells.groupBy("fid", "ftid").agg(*(
+        F.sort_array(F.collect_set(F.when((F.col("which") == w) & (F.col("sparse") if c == "hi" else F.lit(True)), F.col(c)))).alias(f"{c}{w}")
+        for w in (0, 1) for c in ("lo", "hi")))
     facts = rows.select("id", "tid", "next", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    full = materialise(facts.join(prints, ["id", "tid"]), "prints")
+    full = (facts.join(stats, (F.col("id") == F.col("sid")) & _same_text("tid", "stid"))
+            .join(few, (F.col("id") == F.col("fid")) & _same_text("tid", "ftid"), "left"))
+    none = F.array().cast("array<int>")
+
+    def print_of(w):
+        return F.struct(F.col(f"base{w}").alias("base"), F.col(f"level{w}").alias("level"), F.coalesce(f"lo{w}", none).alias("lo"),
+                        F.coalesce(f"hi{w}", none).alias("hi"))
+    full = materialise(full.select("id", "tid", "next", "n_chars", "edited_sha256", print_of(0).alias("own"), print_of(1).alias("edited")), "prints")
     after = full.groupBy(F.col("id").alias("next")).agg(F.min(F.struct("tid", "own")).alias("n")).select("next", F.col("n.own").alias("after"))
     return full.join(after, "next").select(
         key_to_id("id").alias(id_col), "n_chars", "edited_sha256", _as_text("own").alias("fingerprint"), _as_text("edited").alias("edited_fingerprint"),
