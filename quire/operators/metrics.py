@@ -104,9 +104,12 @@ def cross_entropy(df: DataFrame, z_col: str, label_col: str, ignore_label: int |
 
 
 def binary_cross_entropy(df: DataFrame, p_col: str, y_col: str) -> DataFrame:
-    """E6."""
+    """E6.  Logarithms are bounded below by -100, so a certain wrong prediction counts (and does not drop its row)."""
     p, y = F.col(p_col), F.col(y_col)
-    return df.agg(F.round(F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p))), 6).alias("loss"))
+
+    def bounded_log(x):
+        return F.when(x <= 0, F.lit(-100.0)).otherwise(F.greatest(F.log(x), F.lit(-100.0)))
+    return df.agg(F.round(F.avg(-(y * bounded_log(p) + (1 - y) * bounded_log(1 - p))), 6).alias("loss"))
 
 
 def smoothed_weighted_loss(df: DataFrame, z_col: str, label_col: str, n_classes: int,

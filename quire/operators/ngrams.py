@@ -354,8 +354,9 @@ def collocations(sentences: DataFrame, sizes: Sequence[int] = (2,), k: int = 10,
              .filter(F.col("total_cnt") >= threshold)
              .join(n_docs, "corpus")
              .select("corpus", "n", "gram",
-                     (F.col("sum_tf") / F.col("df")
-                      * F.log((F.col("n_docs") + 1) / (F.col("df") + 1))).alias("score")))
+                     # rounded before ranking: the last bits of a sum depend on the partitioning
+                     F.round(F.col("sum_tf") / F.col("df")
+                             * F.log((F.col("n_docs") + 1) / (F.col("df") + 1)), 9).alias("score")))
     w = Window.partitionBy("corpus", "n").orderBy(F.desc("score"), F.asc("gram"))
     return (g.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select("corpus", F.col("n").cast("bigint").alias("n"),

@@ -222,7 +222,7 @@ def q_carry_speaker_forward(spark, sf_dir):
     c = _conv(spark, sf_dir, 3).withColumn("text", T.strip("text")).filter(F.col("text") != "")
     spk = T.extract_speaker("text", LATIN)
     c = c.withColumn("own", F.when(spk != "Unknown Speaker", spk))
-    r = C.carry_forward(c, "doc_id", "para_no", "own", "speaker_name", chunk_rows=4)
+    r = C.carry_forward(c, "doc_id", "para_no", "own", "speaker_name")
     return r.filter(F.col("speaker_name").isNotNull()).select(
         F.col("doc_id").alias("conv_id"), F.col("para_no").alias("turn"), "speaker_name")
 

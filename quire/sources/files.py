@@ -161,10 +161,11 @@ def write_report(df: DataFrame, path: str, section_cols: Sequence[str], line_col
 
 # ------------------------------------------------------------------ S8
 def cached_subset(spark: SparkSession, path: str, build) -> DataFrame:
-    """Read the saved subset at ``path`` if it exists, else build it
-    (``build()`` -> DataFrame), save it as Parquet and read it back."""
+    """Read the saved subset at ``path`` if it is there in full (its
+    ``_SUCCESS`` mark), else build it (``build()`` -> DataFrame), save it as
+    Parquet and read it back."""
     jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(hpath):
         build().write.mode("overwrite").parquet(path)
