@@ -256,7 +256,7 @@ def test_op8_pii(spark, docs, odd_docs):
     assert pii.personal_data(table.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("block_bytes", [8 << 20, 400])
+@pytest.mark.parametrize("block_bytes", [8 << 20, 6000])
 def test_op9_contamination(spark, table, block_bytes):
     from quire.llm.decontaminate import contaminated, drop_contaminated
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
