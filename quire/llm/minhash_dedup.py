@@ -7,8 +7,8 @@
 2. Classes that share a band key are linked with the class of that bucket that
    shares most keys with others, as an original does with its copies (a star,
    never all pairs); each link is confirmed on the full shingle sets.
-3. Buckets that still hold several components are compared block by block: an
-   inverted index of a block's shingles counts what a text has in common with
+3. Buckets whose other members still hold several components are compared block
+   by block, those with the same members once: an inverted index of a block's shingles counts what a text has in common with
    all others at once, and a link joins two components for the rest of the
    block.  So no pair that banding found is given up because the star's centre
    was not its partner, and a block returns links, fewer than it has rows,
@@ -162,23 +162,28 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     central = member.groupBy("cls").agg(F.sum("n").alias("shared"))
     member = materialise(member.join(central, "cls"), "members")
     hubs = member.groupBy("key").agg(F.max(F.struct("shared", "cls")).alias("hub")).select("key", F.col("hub.cls").alias("hub"))
-    star = materialise(member.join(hubs, "key").where("cls <> hub").select(
-        F.least("hub", "cls").alias("u"), F.greatest("hub", "cls").alias("v")).distinct(), "star")
+    led = materialise(member.join(hubs, "key").where("cls <> hub").select("key", "cls", "hub"), "led")
+    star = materialise(led.select(F.least("hub", "cls").alias("u"), F.greatest("hub", "cls").alias("v")).distinct(), "star")
     wanted = star.select(F.col("u").alias("cls")).union(star.select(F.col("v").alias("cls"))).distinct()
     # of each class, the text of its least id; the equal texts of a repeated id count once
     texts = materialise(pack_texts(base).join(classes.join(wanted, "cls").select("cls", "id"), "id")
                         .groupBy("cls").agg(F.first("packed").alias("packed")), "texts")
     links = materialise(_confirmed(star, texts, words, percent), "links")
-    state = member.join(components(links).withColumnRenamed("node", "cls"), "cls", "left").select(
+    # the star has compared every hub with its whole bucket, and buckets with the same other members ask the same thing
+    state = led.join(components(links).withColumnRenamed("node", "cls"), "cls", "left").select(
         "key", "cls", F.coalesce("root", "cls").alias("comp"))
-    mixed = (state.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("n"))
-             .where("a <> b").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    mixed = (state.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("n"),
+                                      F.sum(F.xxhash64("cls").cast("decimal(20,0)")).alias("members"))
+             .where("a <> b").groupBy("members", "n").agg(F.min("key").alias("key"))
+             .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
     open_rows = (state.join(mixed, "key").join(texts, "cls")
                  .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")))
     part = (open_rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cls", "comp", "packed",
                     F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2).alias("side")))
-    more = part.groupBy("key", "i", "j").applyInArrow(_across(words, percent), "u long, v long").distinct()
+    # by number: few bytes are much work here, so adaptive execution must not put them into one task
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    more = part.repartition(tasks, "key", "i", "j").groupBy("key", "i", "j").applyInArrow(_across(words, percent), "u long, v long").distinct()
     return sketches, links.unionByName(materialise(more, "links"))
 
 
