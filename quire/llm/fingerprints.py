@@ -100,11 +100,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     words = F.broadcast(materialise(lexicon(base), "lexicon").withColumnRenamed("term", "in_band"))
     need = F.floor(F.char_length("text") / 4).cast("int")
     follow = materialise(_next_ids(base.groupBy("id").agg(F.max(need).alias("need"))), "next")
-    piece = (follow.join(base.select(F.col("id").alias("next"), "text", "tid"), "next")
-             .groupBy("id", "next").agg(F.min(F.struct("tid", F.expr("left(text, need)").alias("piece"))).alias("p"))
-             .select(F.col("id").alias("pid"), "next", "p.piece"))
+    # the text side keeps the columns of ``base`` as they are, so that all joins below read one shuffle of the texts
+    wanted = follow.select(F.col("id").alias("pid"), F.col("need").alias("wanted"), "next")
+    piece = (wanted.join(base, F.col("next") == F.col("id")).groupBy("pid", "next")
+             .agg(F.min(F.struct("tid", F.expr("left(text, wanted)").alias("piece"))).alias("p")).select("pid", "p.piece"))
     rows = base.join(piece, F.col("id") == F.col("pid")).withColumn("need", need)
-    rows = rows.select("id", "tid", "next", "text", F.expr("concat(left(text, char_length(text) - need), left(piece, need))").alias("edited"))
+    rows = rows.select("id", "tid", "text", F.expr("concat(left(text, char_length(text) - need), left(piece, need))").alias("edited"))
 
     def versions(*more):
         return F.explode(F.array(*(F.struct(F.lit(w).alias("which"), F.col(c).alias("t"), *(F.col(f"{m}{w}").alias(m) for m in more))
@@ -144,9 +145,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     few = cells.groupBy("fid", "ftid").agg(*(
         F.sort_array(F.collect_set(F.when((F.col("which") == w) & (F.col("sparse") if c == "hi" else F.lit(True)), F.col(c)))).alias(f"{c}{w}")
         for w in (0, 1) for c in ("lo", "hi")))
-    facts = rows.select("id", "tid", "next", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
+    facts = rows.select("id", "tid", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
     full = (facts.join(stats, (F.col("id") == F.col("sid")) & _same_text("tid", "stid"))
-            .join(few, (F.col("id") == F.col("fid")) & _same_text("tid", "ftid"), "left"))
+            .join(few, (F.col("id") == F.col("fid")) & _same_text("tid", "ftid"), "left")
+            .join(follow.select("id", "next"), "id"))
     none = F.array().cast("array<int>")
 
     def print_of(w):
