@@ -350,25 +350,19 @@ def char_vocabulary(cleaned: DataFrame) -> DataFrame:
     return chars.select("ch", F.row_number().over(Window.orderBy("ch")).cast("bigint").alias("idx"))
 
 
-MAX_CHAR_VOCAB = 200_000
-
-
 def encode_text(cleaned: DataFrame, vocab: DataFrame, unknown_as_zero: bool = False) -> DataFrame:
     """Characters -> vocabulary indexes.
 
     A character vocabulary is bounded by the character set (27 entries after
-    cleaning); it is fetched once, size-checked, and inlined as a literal map,
-    so the text is encoded in place without exploding it into one row per
-    character."""
-    rows = vocab.limit(MAX_CHAR_VOCAB + 1).collect()
-    if len(rows) > MAX_CHAR_VOCAB:
-        raise ValueError("character vocabulary too large to inline")
-    m = F.create_map(*[F.lit(x) for r in rows for x in (r["ch"], r["idx"])]) if rows \
-        else F.create_map().cast("map<string,bigint>")
-    codes = F.transform(F.split("cleaned", ""), lambda c: m[c])
+    cleaning); it is one map from a scalar subquery, so the text is encoded
+    in place without exploding it into one row per character, and nothing
+    passes through the driver while the query is planned."""
+    m = vocab.select(F.map_from_entries(F.collect_list(F.struct("ch", "idx")))).scalar()
+    rows = cleaned.select("doc_id", "cleaned", m.alias("__codes"))
+    codes = F.transform(F.split("cleaned", ""), lambda c: F.col("__codes")[c])
     codes = F.transform(codes, lambda x: F.coalesce(x, F.lit(0))) if unknown_as_zero \
         else F.filter(codes, lambda x: x.isNotNull())
-    return cleaned.select("doc_id", codes.alias("codes"))
+    return rows.select("doc_id", codes.alias("codes"))
 
 
 def _codes(spark, sf_dir) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quire.functions import vectors as VX
 from quire.functions.keys import hash_key
 from quire.operators import metrics as E
-from quire.operators.neighbors import knn_vote, topk_similar
+from quire.operators.neighbors import SCORE_DIGITS, knn_vote, topk_similar
 from quire.operators.ranking import bucketed_rank
 from quire.operators.sampling import stratified_folds
 from quire.plans.common import SQL_DOC_SENTENCES, doc_sentences
@@ -121,8 +121,8 @@ SQL_PAIRS = f"""
 {SQL_EMB},
 pairs AS (
   SELECT a.vec_id AS qid, b.vec_id AS cid,
-         CASE WHEN sqrt(list_dot_product(a.vec, a.vec)) * sqrt(list_dot_product(b.vec, b.vec)) = 0 THEN 0.0
-              ELSE list_dot_product(a.vec, b.vec) / (sqrt(list_dot_product(a.vec, a.vec)) * sqrt(list_dot_product(b.vec, b.vec))) END AS score
+         round(CASE WHEN sqrt(list_dot_product(a.vec, a.vec)) * sqrt(list_dot_product(b.vec, b.vec)) = 0 THEN 0.0
+              ELSE list_dot_product(a.vec, b.vec) / (sqrt(list_dot_product(a.vec, a.vec)) * sqrt(list_dot_product(b.vec, b.vec))) END, {SCORE_DIGITS}) AS score
   FROM emb a, emb b WHERE a.vec_id <> b.vec_id
 )"""
 
@@ -165,7 +165,7 @@ def analogy_queries(e: DataFrame) -> DataFrame:
 
 def analogy(queries: DataFrame, vectors: DataFrame, topn: int = 3) -> DataFrame:
     """V4: mean of signed unit vectors, then top n by cosine with the inputs
-    excluded.  Query ids must be numeric.  Top (n + #inputs) is taken and the
+    excluded.  Top (n + #inputs) is taken and the
     inputs removed, which is exact."""
     q = queries.join(vectors.withColumnRenamed("vec_id", "word"), "word")
     q = q.select("query", "word", "sign", "vec", VX.norm("vec").alias("nrm"))
@@ -175,7 +175,7 @@ def analogy(queries: DataFrame, vectors: DataFrame, topn: int = 3) -> DataFrame:
                                    F.count(F.lit(1)).alias("n_in"))
             .select("query", vector_to_array("m").alias("vec"), "n_in"))
     max_in = queries.groupBy("query").count().select(F.max("count")).first()[0]
-    r = topk_similar(mean, vectors, topn + int(max_in), "cosine", "query", "vec", "vec_id", "vec")
+    r = topk_similar(mean, vectors, topn + int(max_in or 0), "cosine", "query", "vec", "vec_id", "vec")
     r = r.join(queries.select(F.col("query").alias("qid"), F.col("word").alias("cid")), ["qid", "cid"], "left_anti")
     w = Window.partitionBy("qid").orderBy(F.desc("score"), F.asc("cid"))
     return r.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= topn)
@@ -192,7 +192,7 @@ dims AS (SELECT query, d.i AS dim, avg(d.x) AS m FROM u, unnest(u.u) WITH ORDINA
 qv AS (SELECT query, list(m ORDER BY dim) AS vec FROM dims GROUP BY query),
 sc AS (
   SELECT query, vec_id AS cid,
-         list_dot_product(qv.vec, emb.vec) / (sqrt(list_dot_product(qv.vec, qv.vec)) * sqrt(list_dot_product(emb.vec, emb.vec))) AS score
+         round(list_dot_product(qv.vec, emb.vec) / (sqrt(list_dot_product(qv.vec, qv.vec)) * sqrt(list_dot_product(emb.vec, emb.vec))), {SCORE_DIGITS}) AS score
   FROM qv, emb
   WHERE NOT EXISTS (SELECT 1 FROM qw WHERE qw.query = qv.query AND qw.word = emb.vec_id)
 )
@@ -267,12 +267,12 @@ def _sql_knn(k: int, weighting: str, metric: str) -> str:
         f"THEN CASE WHEN {dist} = 0 THEN 1.0 ELSE 0.0 END ELSE 1.0 / ({dist}) END"
     return f"""
 WITH {SQL_EMB}, {SQL_FOLDS},
-pairs AS (SELECT a.vec_id AS qid, a.fold, a.label AS qlabel, b.vec_id AS cid, b.label, {score} AS score
+pairs AS (SELECT a.vec_id AS qid, a.fold, a.label AS qlabel, b.vec_id AS cid, b.label, round({score}, {SCORE_DIGITS}) AS score
           FROM folds a JOIN folds b ON a.fold <> b.fold),
 nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, cid) AS rk FROM pairs)
        WHERE rk <= {k}),
 wt AS (SELECT *, {w} AS w FROM nb),
-votes AS (SELECT qid, fold, qlabel, label, sum(w) AS v FROM wt GROUP BY qid, fold, qlabel, label)
+votes AS (SELECT qid, fold, qlabel, label, round(sum(w), {SCORE_DIGITS}) AS v FROM wt GROUP BY qid, fold, qlabel, label)
 SELECT qid AS vec_id, CAST(fold AS BIGINT) AS fold, qlabel AS label, label AS prediction FROM (
   SELECT *, row_number() OVER (PARTITION BY qid ORDER BY v DESC, label) AS r FROM votes) WHERE r = 1
 """

@@ -8,9 +8,10 @@ read path is the ``.docx`` unpacker (S3), which runs per file inside
 from __future__ import annotations
 
 import io
+import warnings
 import zipfile
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,26 +68,36 @@ DOCX_SCHEMA = "file_name string, para_no int, text string, error string"
 
 
 def _docx_paragraphs(content: bytes) -> list[str]:
+    """Text of the paragraphs that stand in the body itself: those of tables
+    and text boxes are left out.  Tabs and line breaks of a run are kept."""
     ns = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
     with zipfile.ZipFile(io.BytesIO(content)) as z:
-        root = ET.fromstring(z.read("word/document.xml"))
+        body = ET.fromstring(z.read("word/document.xml")).find(f"{ns}body")
+
+    def piece(node) -> str:
+        if node.tag == f"{ns}t":
+            return node.text or ""
+        if node.tag == f"{ns}br":
+            return "\n" if node.get(f"{ns}type", "textWrapping") == "textWrapping" else ""
+        return {f"{ns}tab": "\t", f"{ns}cr": "\n", f"{ns}noBreakHyphen": "-"}.get(node.tag, "")
+
+    runs = (f"{ns}r", f"{ns}hyperlink/{ns}r")
     paras = []
-    for p in root.iter(f"{ns}p"):
-        paras.append("".join(t.text or "" for t in p.iter(f"{ns}t")))
+    for p in body.findall(f"{ns}p") if body is not None else []:
+        inside = {r for path in runs for r in p.findall(path)}
+        paras.append("".join(piece(node) for r in p.iter(f"{ns}r") if r in inside for node in r))
     return paras
 
 
 def _unpack_docx(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        rows = []
-        for path, content in zip(b["path"], b["content"]):
+        for path, content in zip(b["path"], b["content"]):       # one frame per file bounds the memory
             name = path.rstrip("/").rsplit("/", 1)[-1]
             try:
-                for i, t in enumerate(_docx_paragraphs(bytes(content))):
-                    rows.append((name, i, t, None))
+                rows = [(name, i, t, None) for i, t in enumerate(_docx_paragraphs(bytes(content)))]
             except Exception as e:  # noqa: BLE001 - a bad file is reported, not fatal
-                rows.append((name, -1, None, f"{type(e).__name__}: {e}"))
-        yield pd.DataFrame(rows, columns=["file_name", "para_no", "text", "error"])
+                rows = [(name, -1, None, f"{type(e).__name__}: {e}")]
+            yield pd.DataFrame(rows, columns=["file_name", "para_no", "text", "error"])
 
 
 def read_document_folder(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,21 +137,28 @@ def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ S7
-def report_lines(df: DataFrame, section_cols: Sequence[str], line_col: str,
-                 order_cols: Sequence[str]) -> DataFrame:
+def report_lines(df: DataFrame, section_cols: Sequence[str], line_col: str, order_cols: Sequence[str],
+                 titles: Mapping[str, Mapping] | None = None) -> DataFrame:
     """One ``line`` per row plus a header line whenever a section value
     starts, ordered by ``section_cols`` then ``order_cols``.
 
-    Headers are ``"<value>:"`` lines; rows keep their order inside a
-    section.  The result is ordered by (sort keys, kind) and can be written
-    with ``write.text`` after ``coalesce(1)``/``orderBy`` by the caller."""
+    Headers are ``"<title>:"`` lines; rows keep their order inside a
+    section.  Sections are ordered by their values (the gram size 2, 3, 4),
+    and ``titles[column][value]`` gives the text of the header where it
+    differs from the value ("Two", "Three", "Four").  The result is ordered
+    by (sort keys, kind) and can be written with ``write.text`` after
+    ``coalesce(1)``/``orderBy`` by the caller."""
     out = None
     for depth, c in enumerate(section_cols):
         keys = list(section_cols[:depth + 1])
+        title = F.col(c).cast("string")
+        named = (titles or {}).get(c)
+        if named:
+            title = F.coalesce(F.create_map(*[F.lit(str(x)) for kv in named.items() for x in kv])[title], title)
         h = df.select(*keys).distinct().select(
             *keys, *[F.lit(None).cast(df.schema[k].dataType).alias(k) for k in section_cols[depth + 1:]],
             *[F.lit(None).alias(o) for o in order_cols],
-            F.lit(depth).alias("__kind"), F.concat(F.col(c).cast("string"), F.lit(":")).alias("line"))
+            F.lit(depth).alias("__kind"), F.concat(title, F.lit(":")).alias("line"))
         out = h if out is None else out.unionByName(h, allowMissingColumns=True)
     body = df.select(*section_cols, *order_cols, F.lit(len(section_cols)).alias("__kind"),
                      F.col(line_col).cast("string").alias("line"))
@@ -148,10 +166,10 @@ def report_lines(df: DataFrame, section_cols: Sequence[str], line_col: str,
     return out
 
 
-def write_report(df: DataFrame, path: str, section_cols: Sequence[str], line_col: str,
-                 order_cols: Sequence[str]) -> None:
+def write_report(df: DataFrame, path: str, section_cols: Sequence[str], line_col: str, order_cols: Sequence[str],
+                 titles: Mapping[str, Mapping] | None = None) -> None:
     """Sectioned text report, one file."""
-    r = report_lines(df, section_cols, line_col, order_cols)
+    r = report_lines(df, section_cols, line_col, order_cols, titles)
     sort = []
     for c in section_cols:
         sort += [F.col(c).asc_nulls_first()]
@@ -160,14 +178,16 @@ def write_report(df: DataFrame, path: str, section_cols: Sequence[str], line_col
 
 
 # ------------------------------------------------------------------ S8
+def _exists(spark: SparkSession, path: str) -> bool:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
 def cached_subset(spark: SparkSession, path: str, build) -> DataFrame:
     """Read the saved subset at ``path`` if it is there in full (its
     ``_SUCCESS`` mark), else build it (``build()`` -> DataFrame), save it as
     Parquet and read it back."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
+    if not _exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -178,7 +198,7 @@ def read_labelled_tree(spark: SparkSession, root: str, by: str = "folder",
     """Image files -> (path, label) (the binary reader skips empty files).
 
     ``by='folder'``: the label is the parent folder (one of ``classes``;
-    a missing class folder is simply absent).  ``by='prefix'``: the label is
+    a missing class folder gives a warning and no rows).  ``by='prefix'``: the label is
     the class whose lower-cased name prefixes the lower-cased file name; an
     unknown prefix raises.  ``.jpg`` in any case is kept."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -186,6 +206,9 @@ def read_labelled_tree(spark: SparkSession, root: str, by: str = "folder",
     files = files.filter(F.lower(F.col("path")).endswith(".jpg"))
     name = F.element_at(F.split("path", "/"), -1)
     if by == "folder":
+        for c in classes:
+            if not _exists(spark, f"{root.rstrip('/')}/{c}"):
+                warnings.warn(f"no folder of class {c!r} below {root}", stacklevel=2)
         parent = F.element_at(F.split("path", "/"), -2)
         idx = F.array_position(F.array(*[F.lit(c) for c in classes]), parent) - 1
         return files.select("path", idx.cast("int").alias("label")).filter(F.col("label") >= 0)

@@ -88,6 +88,34 @@ def test_knn_vote_distance_zero_wins(spark):
     assert knn_vote(neigh, labels, "uniform", "euclidean").first()["prediction"] == 2
 
 
+def test_knn_vote_duplicate_vectors_cosine(spark):
+    v = [0.1, 0.2, 0.3]
+    rows = [("q", v), ("same", [3 * x for x in v]), ("near", [0.1, 0.2, 0.31]), ("near2", [0.1, 0.21, 0.3])]
+    df = spark.createDataFrame(rows, "id string, vec array<double>")
+    neigh = topk_similar(df.filter("id = 'q'"), df, 3, "cosine", exclude_self=True)
+    got = [(r["qid"], r["cid"]) for r in neigh.orderBy("rank").collect()]
+    assert [c for _, c in got][0] == "same" and len(got) == 3          # string ids stay strings
+    labels = spark.createDataFrame([("same", 1), ("near", 0), ("near2", 0)], "cid string, label int")
+    assert knn_vote(neigh, labels, "distance", "cosine").first()["prediction"] == 1
+    over = spark.createDataFrame([(1, 10, 1.0 + 2e-16), (1, 11, 0.5)], "qid long, cid long, score double")
+    assert knn_vote(over, spark.createDataFrame([(10, 7), (11, 3)], "cid long, label int"), "distance",
+                    "cosine").first()["prediction"] == 7
+
+
+def test_predictor_is_built_once_per_worker(spark, tmpdir_path):
+    import os
+
+    def make():
+        import os
+        import uuid
+        open(os.path.join(tmpdir_path, f"{os.getpid()}-{uuid.uuid4().hex}"), "w").close()
+        return lambda b: b["id"].astype(str)
+    out = MD.score_table(spark.range(200).repartition(40), make)
+    assert out.collect() and out.count() == 200                       # two jobs of 40 tasks
+    built = [f.split("-")[0] for f in os.listdir(tmpdir_path)]
+    assert built and len(built) == len(set(built))
+
+
 def test_report_and_confusion(spark):
     p = spark.createDataFrame([(0, 0), (0, 1), (1, 1), (1, 1), (2, 1)], "label int, prediction int")
     rep = {r["name"]: r for r in E.classification_report(p).collect()}
@@ -139,12 +167,11 @@ def test_score_table_and_pca(spark):
     assert p.count() == e.count() and {"x", "y"} <= set(p.columns)
 
 
-def test_word_vectors_vocab_guard(spark):
+def test_word_vectors_vocabulary(spark):
     s = spark.createDataFrame([(["a", "b", "c", "a"],), (["b", "c", "d"],)], "tokens array<string>")
     v = MD.train_word_vectors(s, dim=8, min_count=1)
     assert v.count() == 4 and len(v.first()["vector"]) == 8
-    with pytest.raises(ValueError, match="raise min_count"):
-        MD.train_word_vectors(s, dim=8, min_count=1, max_vocab=2)
+    assert {r["word"] for r in MD.train_word_vectors(s, dim=8, min_count=2).collect()} == {"a", "b", "c"}
 
 
 def test_latent_grid(spark):

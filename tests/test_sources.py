@@ -52,6 +52,17 @@ def test_read_document_folder(spark, tmpdir_path):
     assert {(r["knesset_number"], r["protocol_type"]) for r in meta} >= {(25, "plenary")}
 
 
+def test_docx_body_paragraphs_only(spark, tmpdir_path):
+    xml = (f'<w:document xmlns:w="{W}"><w:body><w:p><w:pPr><w:tabs><w:tab/></w:tabs></w:pPr><w:r><w:t>a</w:t><w:tab/>'
+           '<w:t>b</w:t><w:br/><w:br w:type="page"/></w:r><w:hyperlink><w:r><w:t>c</w:t></w:r></w:hyperlink>'
+           '<w:r><w:txbxContent><w:p><w:r><w:t>box</w:t></w:r></w:p></w:txbxContent></w:r><w:r><w:t>d</w:t></w:r></w:p>'
+           '<w:tbl><w:tr><w:tc><w:p><w:r><w:t>cell</w:t></w:r></w:p></w:tc></w:tr></w:tbl><w:p/></w:body></w:document>')
+    with zipfile.ZipFile(os.path.join(tmpdir_path, "t.docx"), "w") as z:
+        z.writestr("word/document.xml", xml)
+    rows = S.read_document_folder(spark, tmpdir_path).orderBy("para_no").collect()
+    assert [r["text"] for r in rows] == ["a\tb\ncd", ""]
+
+
 def test_headerless_and_header_csv(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "census.csv")
     with open(p, "w") as f:
@@ -77,12 +88,12 @@ def test_text_lines_and_report(spark, tmpdir_path):
         f.write("first\nsecond\nthird\n")
     lines = S.read_text_lines(spark, p).orderBy("line_no").collect()
     assert [r["text"] for r in lines] == ["first", "second", "third"]
-    df = spark.createDataFrame([("Two", "freq", 1, "a b"), ("Two", "freq", 2, "c d"), ("Three", "tfidf", 1, "e f g")],
-                               "size string, metric string, rank int, gram string")
+    df = spark.createDataFrame([(3, "tfidf", 1, "e f g"), (2, "freq", 2, "c d"), (2, "freq", 1, "a b")],
+                               "size int, metric string, rank int, gram string")
     out = os.path.join(tmpdir_path, "report")
-    S.write_report(df, out, ["size", "metric"], "gram", ["rank"])
+    S.write_report(df, out, ["size", "metric"], "gram", ["rank"], {"size": {2: "Two", 3: "Three"}})
     txt = "".join(open(os.path.join(out, f)).read() for f in sorted(os.listdir(out)) if f.startswith("part"))
-    assert txt.splitlines() == ["Three:", "tfidf:", "e f g", "Two:", "freq:", "a b", "c d"]
+    assert txt.splitlines() == ["Two:", "freq:", "a b", "c d", "Three:", "tfidf:", "e f g"]
 
 
 def test_cached_subset(spark, tmpdir_path):
@@ -103,7 +114,8 @@ def test_labelled_tree(spark, tmpdir_path):
         open(os.path.join(tmpdir_path, "train", d, "x1.jpg"), "w").write("jpg")
         open(os.path.join(tmpdir_path, "train", d, "x2.JPG"), "w").write("jpg")
     open(os.path.join(tmpdir_path, "train", "Rain", "readme.txt"), "w").write("txt")
-    tr = S.read_labelled_tree(spark, os.path.join(tmpdir_path, "train"), "folder")
+    with pytest.warns(UserWarning, match="Sunrise"):
+        tr = S.read_labelled_tree(spark, os.path.join(tmpdir_path, "train"), "folder")
     assert sorted(r["label"] for r in tr.collect()) == [0, 0, 3, 3]
     os.makedirs(os.path.join(tmpdir_path, "test"))
     for n in ["cloudy12.jpg", "Sunrise3.jpg", "shine7.JPG"]:
