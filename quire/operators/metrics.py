@@ -136,11 +136,16 @@ def reconstruction_plus_kl(df: DataFrame, x: str = "x", xh: str = "xh", m: str =
     return df.agg(F.round(F.sum(-rec - 0.5 * kl), 6).alias("loss"))
 
 
-def metrics_by_split(df: DataFrame, z_col: str, label_col: str, keys: Sequence[str]) -> DataFrame:
-    """Mean cross-entropy and accuracy per key (epoch, split)."""
+def metrics_by_split(df: DataFrame, z_col: str, label_col: str, keys: Sequence[str],
+                     batch_col: str | None = None) -> DataFrame:
+    """Cross-entropy and accuracy per key (epoch, split).  With
+    ``batch_col`` the loss is the mean of the batches' mean losses (a short
+    last batch weighs as much as a full one), else the mean over the rows;
+    the accuracy is the share of correct rows."""
     z = F.col(z_col)
     loss = _lse(z) - F.element_at(z_col, F.col(label_col) + 1)
-    pred = F.array_position(z, F.array_max(z)) - 1
-    return df.groupBy(*keys).agg(
-        F.round(F.avg(loss), 6).alias("loss"),
-        F.round(F.avg((pred == F.col(label_col)).cast("double")), 6).alias("accuracy"))
+    hit = F.array_position(z, F.array_max(z)) - 1 == F.col(label_col)
+    per = df.groupBy(*keys, *([batch_col] if batch_col else [])).agg(
+        F.avg(loss).alias("loss"), F.sum(hit.cast("long")).alias("hits"), F.count(hit).alias("rows"))
+    return per.groupBy(*keys).agg(F.round(F.avg("loss"), 6).alias("loss"),
+                                  F.round(F.sum("hits") / F.sum("rows"), 6).alias("accuracy"))

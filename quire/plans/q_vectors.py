@@ -464,25 +464,27 @@ def q_reconstruction_plus_kl(spark, sf_dir):
 @query("metrics_by_split", f"""
 WITH {SQL_EMB},
 sp AS (SELECT vec_id, vec, label, CASE WHEN row_number() OVER (ORDER BY md5('{SEED}-' || CAST(vec_id AS VARCHAR)))
-       <= floor(0.8 * count(*) OVER ()) THEN 'train' ELSE 'test' END AS split FROM emb),
-ep AS (SELECT vec_id, split, label, e.epoch, vec[e.epoch * 10 + 1:e.epoch * 10 + 10] AS z
+       <= floor(0.8 * count(*) OVER ()) THEN 'train' ELSE 'test' END AS split,
+       floor((row_number() OVER (ORDER BY md5('{SEED}-' || CAST(vec_id AS VARCHAR))) - 1) / 64) AS batch FROM emb),
+ep AS (SELECT vec_id, split, batch, label, e.epoch, vec[e.epoch * 10 + 1:e.epoch * 10 + 10] AS z
        FROM sp, range(3) AS e(epoch)),
-r AS (SELECT split, epoch, label, z,
+r AS (SELECT split, batch, epoch, label, z,
              list_max(z) + ln(list_sum(list_transform(z, lambda y: exp(y - list_max(z))))) - z[label + 1] AS loss,
-             list_position(z, list_max(z)) - 1 AS prediction FROM ep)
-SELECT CAST(epoch AS BIGINT) AS epoch, split, round(avg(loss), 6) AS loss,
-       round(avg(CAST(prediction = label AS DOUBLE)), 6) AS accuracy
-FROM r GROUP BY epoch, split
+             list_position(z, list_max(z)) - 1 AS prediction FROM ep),
+b AS (SELECT epoch, split, batch, avg(loss) AS loss, sum(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END) AS hits, count(*) AS n
+      FROM r GROUP BY epoch, split, batch)
+SELECT CAST(epoch AS BIGINT) AS epoch, split, round(avg(loss), 6) AS loss, round(CAST(sum(hits) AS DOUBLE) / sum(n), 6) AS accuracy
+FROM b GROUP BY epoch, split
 """)
 def q_metrics_by_split(spark, sf_dir):
-    """Loss and accuracy per (epoch, split) of a prediction table
-    (epoch e scores = dims 10e+1 .. 10e+10)."""
-    from quire.operators.sampling import random_split
-    e = random_split(_emb(spark, sf_dir), ["vec_id"], 0.8, SEED)
-    ep = e.select("split", "label", "vec", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("epoch"))
-    ep = ep.select("split", "label", F.col("epoch").cast("bigint").alias("epoch"),
+    """Batch-mean loss (seeded batches of 64) and accuracy per (epoch,
+    split) of a prediction table (epoch e scores = dims 10e+1 .. 10e+10)."""
+    from quire.operators.sampling import batch_numbers, random_split
+    e = batch_numbers(random_split(_emb(spark, sf_dir), ["vec_id"], 0.8, SEED), 64, ["vec_id"], SEED)
+    ep = e.select("split", "batch", "label", "vec", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("epoch"))
+    ep = ep.select("split", "batch", "label", F.col("epoch").cast("bigint").alias("epoch"),
                    F.slice("vec", F.col("epoch") * 10 + 1, F.lit(10)).alias("z"))
-    return E.metrics_by_split(ep, "z", "label", ["epoch", "split"])
+    return E.metrics_by_split(ep, "z", "label", ["epoch", "split"], "batch")
 
 
 @query("accuracy_by_strategy", f"""
