@@ -11,14 +11,16 @@ bytes a gram follows).  The lowest order is counted over both classes together
 and shared.  Probabilities interpolate from there upwards:
 ``p(w | h) = (max(c(hw) - D, 0) + D * n(h) * p(w | h')) / c(h)``.
 
-The model that tasks receive holds, for each stored gram, the logarithm of the
-ratio of its two probabilities and, for each context, that of its two backoff
-weights.  It is bounded: beyond ``MODEL_GRAMS`` grams, those whose removal
-changes the training likelihood ratio least back off to a shorter gram.  The
-counts themselves are bounded by nothing.
+The model holds, for each counted gram, the logarithm of the ratio of its two
+probabilities and, for each context, that of its two backoff weights; no gram
+is left out.  Up to ``MODEL_GRAMS`` grams it is sent to the tasks, which score
+in one map.  A larger one stays in tables: the grams of the corpus' distinct
+words are joined with them, and the words' ratios with the texts.
 
 A text's score is its log-likelihood ratio divided by its length, put through
-a logistic curve that is fitted on a training fold left out of the counts.
+a rising curve, the share of toxic rows by ratio, that is fitted on a training
+fold left out of the counts.  It assumes no shape: a few texts far out (junk,
+rare languages) flatten a logistic curve of a small table to below 0.5.
 
 Edge cases: null and empty texts get the share of toxic rows in the training
 labels; if one class has no training row every score is 0; a null label is no
@@ -42,10 +44,8 @@ from quire.llm.common import materialise, share, shared
 
 ORDER = 6
 DISCOUNT = 0.75
-#: most grams (and contexts) in the broadcast model
+#: most grams (and contexts) of a model that is sent to all tasks; a larger one is joined
 MODEL_GRAMS = 1 << 20
-#: grams and contexts whose removal changes the training log-likelihood ratio by less than this are noise and back off
-LEAST_WEIGHT = 5.0
 #: added to a text's length before its log-likelihood ratio is divided by it, so a few words prove little
 SHORT_BYTES = 200
 #: labels up to this number are sent to all tasks; more are joined by a shuffle
@@ -123,14 +123,18 @@ def _with_order(key, m: int):
 
 @dataclass
 class ToxicityModel:
-    """Sorted gram keys with log ratios, sorted context keys with log backoff ratios, curve, prior."""
+    """Sorted gram keys with log ratios, sorted context keys with log backoff ratios, curve, prior.
+
+    ``tables``: (grams, contexts) as tables of key and value instead, if they are too many to send.
+    """
     keys: np.ndarray
     values: np.ndarray
     contexts: np.ndarray
     backoffs: np.ndarray
-    slope: float = 0.0
-    offset: float = 0.0
+    #: ratios and their shares of toxic rows; the sign of the ratio decides where too few rows give a curve
+    curve: tuple[np.ndarray, np.ndarray] = (np.array([-0.1, 0.1]), np.array([0.0, 1.0]))
     prior: float = 0.0
+    tables: tuple[DataFrame, DataFrame] | None = None
 
     def __post_init__(self):
         self._cache = (np.zeros(0, np.uint64), np.zeros(0, np.float64))
@@ -182,12 +186,11 @@ class ToxicityModel:
         if not len(self.keys):
             return np.zeros(len(column))
         ratio, n = self.ratios(column)
-        z = np.clip(self.slope * ratio + self.offset, -500, 500)
-        return np.where(n > 0, 1 / (1 + np.exp(-z)), self.prior)
+        return np.where(n > 0, np.interp(ratio, *self.curve), self.prior)
 
 
 def _kneser_ney(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(grams, contexts): key, value, weight of all orders above the shared one, from counts of longest grams."""
+    """(grams, contexts): key and value of all orders above the shared one, from counts of longest grams."""
     level = grams.where(F.shiftright("key", _LEN) == ORDER)
     levels = {ORDER: level}
     for m in range(ORDER - 1, 0, -1):
@@ -209,12 +212,9 @@ def _kneser_ney(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
         p = (rows.join(sums, "ctx").join(lower.select(F.col("key").alias("suffix"), F.col("pt").alias("qt"), F.col("po").alias("qo")), "suffix")
              .withColumn("pt", F.when(F.col("ct") > 0, F.greatest(F.col("t") - DISCOUNT, F.lit(0.0)) / F.col("ct")).otherwise(0.0) + F.col("wt") * F.col("qt"))
              .withColumn("po", F.when(F.col("co") > 0, F.greatest(F.col("o") - DISCOUNT, F.lit(0.0)) / F.col("co")).otherwise(0.0) + F.col("wo") * F.col("qo")))
-        value = F.log(F.col("pt") / F.col("po"))
-        change = F.abs(value - F.log(F.col("wt") * F.col("qt") / (F.col("wo") * F.col("qo"))))
-        lower = materialise(p.select("key", "pt", "po", value.alias("value"), ((F.col("t") + F.col("o")) * change).alias("weight")), f"kn{m}")
-        kept.append(lower.select("key", "value", "weight"))
-        contexts.append(sums.select(F.col("ctx").alias("key"), F.log(F.col("wt") / F.col("wo")).alias("value"),
-                                    ((F.col("ct") + F.col("co")) * F.abs(F.log(F.col("wt") / F.col("wo")))).alias("weight")))
+        lower = materialise(p.select("key", "pt", "po", F.log(F.col("pt") / F.col("po")).alias("value")), f"kn{m}")
+        kept.append(lower.select("key", "value"))
+        contexts.append(sums.select(F.col("ctx").alias("key"), F.log(F.col("wt") / F.col("wo")).alias("value")))
     def together(parts):
         out = parts[0]
         for x in parts[1:]:
@@ -223,34 +223,88 @@ def _kneser_ney(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
     return together(kept), together(contexts)
 
 
-def _bounded(table: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and values of the ``most`` weightiest rows (all, if there are no more), by key."""
-    table = materialise(table.where(F.col("weight") >= LEAST_WEIGHT), "model")
-    n = table.count()
-    if n > most:
-        least = table.agg(F.percentile_approx("weight", 1.0 - most / n, 100_000)).first()[0]
-        table = table.where(F.col("weight") > least)
-    got = table.select("key", F.col("value").cast("float").alias("value")).toArrow()
+def _sorted(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and values of all rows, by key."""
+    got = table.select("key", "value").toArrow()
     keys = got.column("key").to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    return keys[order], got.column("value").to_numpy()[order].astype(np.float32)
-
-
-def _fit_curve(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
-    """Slope and offset of a logistic curve by Newton steps over (ratio, toxic rows, other rows)."""
-    x, t, o = (np.array(c, float) for c in zip(*bins))
-    scale = max(1e-9, float(np.sqrt(np.average(x * x, weights=t + o))))
-    z = np.stack([x / scale, np.ones_like(x)], axis=1)
-    w = np.zeros(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        grad = z.T @ (t - (t + o) * p) - 1e-3 * w
-        hess = (z * ((t + o) * p * (1 - p))[:, None]).T @ z + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hess, grad)
-        w += step
-        if np.abs(step).max() < 1e-9:
-            break
-    return float(w[0] / scale), float(w[1])
+    return keys[order], got.column("value").to_numpy()[order]
+
+
+def _words_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of (k1, k2, text), once for each text: hash, times, bytes with a boundary; the first of a text has one = 1."""
+    for batch in batches:
+        for a, b, buf, offsets in K.text_slices(batch.column("text"), SCORE_BYTES):
+            keys, s, e, inverse, first = _distinct_words(buf, offsets)
+            of = np.repeat(np.arange(b - a), np.diff(first))
+            pair, times = np.unique(of * max(1, len(keys)) + inverse, return_counts=True)
+            row, word = np.divmod(pair, max(1, len(keys)))
+            one = np.diff(row, prepend=-1) > 0
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("k1").take(pa.array(row + a)), batch.column("k2").take(pa.array(row + a)), pa.array(keys[word].view(np.int64)),
+                 pa.array(times.astype(np.int64)), pa.array((e - s + 1)[word].astype(np.int64)), pa.array(one.astype(np.int64))],
+                names=["k1", "k2", "w", "times", "size", "one"])
+
+
+def _grams_of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The longest gram that ends at each byte of each distinct word of a slice: hash of the word, key, times."""
+    for batch in batches:
+        for _, _, buf, offsets in K.text_slices(batch.column("text"), SCORE_BYTES):
+            keys, s, e, _, _ = _distinct_words(buf, offsets)
+            if not len(keys):
+                continue
+            lowered = K._LOWER[buf].tobytes()
+            flat, place, owner = _padded([lowered[i:j] for i, j in zip(s.tolist(), e.tolist())])
+            longest = np.zeros(len(flat), np.uint64)
+            for m, key in _gram_keys(flat):
+                longest = np.where(place >= m - 1, key, longest)
+            here = place > 0
+            yield pa.RecordBatch.from_arrays([pa.array(keys[owner[here]].view(np.int64)), pa.array(longest[here].view(np.int64)),
+                                              pa.array(place[here].astype(np.int32))], names=["w", "key", "place"])
+
+
+def _joined_ratios(texts: DataFrame, tables: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """(k1, k2, ratio): what ``ToxicityModel.ratios`` gives, of each (k1, k2, text) with a word, by joins with the tables."""
+    used = materialise(texts.select("text").mapInArrow(_grams_of_words, "w long, key long, place int").distinct(), "wordgrams")
+    values, backoffs = tables
+    low = "(key & (shiftleft(1L, 8 * m) - 1L))"
+    tried = (used.select("key").distinct().select("key", F.explode(F.sequence(F.lit(2), F.shiftright("key", _LEN).cast("int"))).alias("m"))
+             .select("key", "m", F.expr(f"{low} | shiftleft(cast(m as long), {_LEN})").alias("gram"),
+                     F.expr(f"shiftright({low}, 8) | shiftleft(cast(m - 1 as long), {_LEN})").alias("ctx")))
+    tried = (tried.join(values.select(F.col("key").alias("gram"), "value"), "gram", "left")
+             .join(backoffs.select(F.col("key").alias("ctx"), F.col("value").alias("weight")), "ctx", "left"))
+    orders = range(2, ORDER + 1)
+    each = tried.groupBy("key").agg(*[F.max(F.when(F.col("m") == m, F.col(c))).alias(f"{c}{m}") for m in orders for c in ("value", "weight")])
+    ratio = F.lit(0.0)
+    for m in orders:
+        ratio = F.coalesce(F.col(f"value{m}"), F.coalesce(F.col(f"weight{m}"), F.lit(0.0)) + ratio)
+    words = materialise(used.join(each.select("key", ratio.alias("ratio")), "key").groupBy("w").agg(F.sum("ratio").alias("ratio")), "words")
+    pairs = texts.select("k1", "k2", "text").mapInArrow(_words_of_texts, "k1 long, k2 long, w long, times long, size long, one long")
+    sums = pairs.join(words, "w").groupBy("k1", "k2").agg(
+        F.sum(F.col("ratio") * F.col("times")).alias("s"), F.sum(F.col("size") * F.col("times")).alias("l"), F.sum("one").alias("n"))
+    return sums.select("k1", "k2", ((F.col("s") / F.col("n")) / (F.col("l") / F.col("n") + SHORT_BYTES)).alias("ratio"))
+
+
+def _with_ratio(rows: DataFrame, text_col: str, tables: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """``rows`` with ``_quire_ratio``, null where a text has no word; equal texts are equal to the joins."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    keys = [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
+    ratios = _joined_ratios(rows.select(keys[0].alias("k1"), keys[1].alias("k2"), text.alias("text")), tables)
+    ratios = ratios.select(F.col("k1").alias("_quire_k1"), F.col("k2").alias("_quire_k2"), F.col("ratio").alias("_quire_ratio"))
+    return (rows.withColumns({"_quire_k1": keys[0], "_quire_k2": keys[1]}).join(ratios, ["_quire_k1", "_quire_k2"], "left")
+            .select(*rows.columns, "_quire_ratio"))
+
+
+def _fit_curve(bins: list[tuple[float, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Rising curve through (ratio, toxic rows, other rows): neighbours are pooled while a lower ratio has the larger share."""
+    pools: list[list[float]] = []                 # toxic rows, all rows, sum of ratios
+    for x, t, o in sorted(bins):
+        pools.append([t, t + o, x * (t + o)])
+        while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
+            last = pools.pop()
+            pools[-1] = [a + b for a, b in zip(pools[-1], last)]
+    t, n, x = np.array(pools, float).T
+    return x / n, t / n
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -270,8 +324,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not seen[0] or not seen[1]:
         return ToxicityModel(*(np.zeros(0, k) for k in (np.uint64, np.float32) * 2))
     values, backoffs = _kneser_ney(grams)
-    model = ToxicityModel(*_bounded(values, model_grams), *_bounded(backoffs, model_grams))
-    sent = share(docs.sparkSession, model)
+    backoffs = materialise(backoffs, "backoffs")
+    if max(values.count(), backoffs.count()) <= model_grams:
+        model = ToxicityModel(*_sorted(values), *_sorted(backoffs))
+        sent = share(docs.sparkSession, model)
+    else:
+        model = ToxicityModel(*(np.zeros(0, k) for k in (np.uint64, np.float64) * 2), tables=(values, backoffs))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared(sent)
@@ -281,14 +339,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([pa.array(np.clip(np.rint(ratio * _BINS), -100000, 100000).astype(np.int64)), batch.column("toxic")],
                                              names=["bin", "toxic"]).filter(keep)
 
-    curve = rows.where(F.col("fold") == CURVE).select("text", "toxic").mapInArrow(measure, "bin long, toxic int")
+    curve = rows.where(F.col("fold") == CURVE).select("text", "toxic")
+    if model.tables:
+        ratio = F.rint(F.col("_quire_ratio") * _BINS)
+        curve = (_with_ratio(curve, "text", model.tables).where("_quire_ratio is not null")
+                 .select(F.greatest(F.lit(-100000), F.least(F.lit(100000), ratio)).cast("long").alias("bin"), "toxic"))
+    else:
+        curve = curve.mapInArrow(measure, "bin long, toxic int")
     bins = curve.groupBy("bin").agg(F.sum((F.col("toxic") > 0).cast("long")).alias("t"), F.count("*").alias("n")).collect()
     bins = [(r["bin"] / _BINS, r["t"], r["n"] - r["t"]) for r in bins]
     if sum(b[1] for b in bins) and sum(b[2] for b in bins):
-        model.slope, model.offset = _fit_curve(bins)
+        model.curve = _fit_curve(bins)
         model.prior = sum(b[1] for b in bins) / sum(b[1] + b[2] for b in bins)
-    else:                                   # too few rows for a curve: the sign of the ratio decides
-        model.slope, model.prior = 50.0, 0.0
     return model
 
 
@@ -304,8 +366,23 @@ def _score_column(sent, text_at: int, column: str, least: float | None):
     return run
 
 
+def _joined_score(docs: DataFrame, model: ToxicityModel, text_col: str, column: str) -> DataFrame:
+    x, p, prior = *model.curve, model.prior
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ratio = batch.column(batch.num_columns - 1)
+            value = np.interp(ratio.fill_null(0.0).to_numpy(zero_copy_only=False), x, p)
+            value = np.where(ratio.is_valid().to_numpy(zero_copy_only=False), value, prior)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(value)], names=[*batch.schema.names[:-1], column])
+    schema = StructType([*docs.schema.fields, StructField(column, DoubleType())])
+    return _with_ratio(docs, text_col, model.tables).mapInArrow(run, schema)
+
+
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", column: str = "score") -> DataFrame:
-    """``docs`` with a score from 0 to 1 (higher: toxic is likelier); a map over the rows."""
+    """``docs`` with a score from 0 to 1 (higher: toxic is likelier); a map over the rows, or joins if the model is in tables."""
+    if model.tables:
+        return _joined_score(docs, model, text_col, column)
     sent = share(docs.sparkSession, model)
     at = docs.columns.index(text_col)
     schema = StructType([*docs.schema.fields, StructField(column, DoubleType())])
@@ -313,6 +390,8 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", column:
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """``docs`` without the rows that score ``least`` or more; a map over the rows, all columns as they are."""
+    """``docs`` without the rows that score ``least`` or more, all columns as they are; a map, or joins if the model is in tables."""
+    if model.tables:
+        return _joined_score(docs, model, text_col, "_quire_score").where(F.col("_quire_score") < least).drop("_quire_score")
     sent = share(docs.sparkSession, model)
     return docs.mapInArrow(_score_column(sent, docs.columns.index(text_col), "", least), docs.schema)

@@ -105,6 +105,39 @@ def test_op2_toxicity(spark, odd_docs):
     assert {r["score"] for r in score(table, none).collect()} == {0.0}
 
 
+def test_op2_whole_model(spark, docs, odd_docs):
+    """Every counted gram is in the model, and a model too large to send scores the same by joins."""
+    from quire.llm import toxicity as T
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    known = {r["doc_id"]: r["toxic"] for r in labels.collect() if r["toxic"] is not None}
+    text = {r["doc_id"]: (r["text"], r["f"]) for r in docs.select("doc_id", "text", T.fold_of("doc_id").alias("f")).collect()}
+    want = set()
+    for d, (t, f) in text.items():
+        if d in known and f not in (T.HELD_OUT, T.CURVE):
+            for w in set(lower_words(t)):
+                w = b" " + w + b" "
+                want |= {w[max(0, i - 5):i + 1][-m:] for i in range(1, len(w)) for m in range(2, T.ORDER + 1)}
+    model = T.fit(docs, labels)
+    assert len(model.keys) == len({w for w in want if len(w) > 1})
+    joined = T.fit(docs, labels, model_grams=0)
+    assert joined.tables
+    for table in (docs, odd_docs.withColumnRenamed("score", "score0")):
+        a = sorted((str(r["doc_id"]), str(r["text"]), r["score"]) for r in T.score(table, model).collect())
+        b = sorted((str(r["doc_id"]), str(r["text"]), r["score"]) for r in T.score(table, joined).collect())
+        assert [x[:2] for x in a] == [x[:2] for x in b]
+        assert np.allclose([x[2] for x in a], [x[2] for x in b], atol=1e-9)
+    assert T.drop_toxic(odd_docs, joined).columns == odd_docs.columns
+
+
+def test_op2_curve_of_a_small_table():
+    """Toxic rows just above the rest reach 0.5 beside a few texts far out, and the curve rises."""
+    from quire.llm.toxicity import _fit_curve
+    bins = [(-1.8, 1, 8), (-0.3, 3, 10), (0.02, 0, 1), (0.09, 1, 0), *((-0.1 - i / 1000, 0, 2) for i in range(30)), (-0.03, 4, 3), (0.01, 4, 0)]
+    x, p = _fit_curve(bins)
+    assert (np.diff(x) > 0).all() and (np.diff(p) > 0).all()
+    assert np.interp(0.01, x, p) >= 0.5 > np.interp(-0.1, x, p)
+
+
 def test_op3_fingerprints(table):
     from quire.llm.fingerprints import fingerprints
     rows = rows_of(table)
