@@ -20,8 +20,9 @@ coordinates with probability (1 - 0.75^4)^32, below 6 in a million.
 
 Edge cases: null or empty texts and texts of white space have no shingles and
 are linked with nothing; fewer words than a shingle make one shingle of the
-whole sequence; rows that repeat an id are treated alike; a null id counts as
-the id "null" and loses every tie; an empty table gives an empty result.
+whole sequence; an id may stand for several texts (null ids do), so a document
+is its id and its text: rows that repeat both are one document; a null id counts
+as the id "null" and loses every tie; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,7 +34,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from quire.llm import kernel as K
 from quire.llm.common import NULL_ID, id_key, key_to_id, materialise
@@ -47,7 +47,7 @@ BLOCK = 512
 #: bytes of shingle sets a verifying task keeps for reuse
 CACHE_BYTES = 64 << 20
 
-_SKETCH = "id long, n_shingles long, cls long, bands array<long>"
+_SKETCH = "id long, tid long, n_shingles long, cls long, bands array<long>"
 
 
 def set_key(shingles: np.ndarray) -> int:
@@ -69,8 +69,8 @@ def _sketches(words: int, bands: int):
                 s = K.circulant_signature(x, bands * ROWS) * np.uint32(0x9E3779B1) >> np.uint32(16)
                 cls.append(set_key(x)), keys.append(s.astype(np.uint16).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(size, pa.int64()), pa.array(cls, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["id", "n_shingles", "cls", "bands"])
+                [batch.column("id"), batch.column("tid"), pa.array(size, pa.int64()), pa.array(cls, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["id", "tid", "n_shingles", "cls", "bands"])
     return run
 
 
@@ -148,13 +148,17 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
     return with_both.select("u", "v", "tu", "tv").mapInArrow(_verify(words, percent), "u long, v long")
 
 
+def _text_key(text_col: str):
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
                            percent: int = 75, bands: int = BANDS) -> tuple[DataFrame, DataFrame]:
-    """(sketches, links): one row per document (id, n_shingles, cls), and the confirmed links u < v between classes."""
-    base = docs.select(id_key(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    """(sketches, links): one row per document (id, tid, n_shingles, cls), and the confirmed links u < v between classes."""
+    base = docs.select(id_key(id_col).alias("id"), _text_key(text_col).alias("tid"), F.col(text_col).cast("string").alias("text"))
     sketches = materialise(base.mapInArrow(_sketches(words, bands), _SKETCH), "sketch")
     classes = materialise(sketches.where("cls is not null").groupBy("cls")
-                          .agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "classes")
+                          .agg(F.min(F.struct("id", "tid")).alias("least"), F.first("bands").alias("bands")), "classes")
     members = classes.select(F.posexplode("bands").alias("band", "word"), "cls").select(
         F.xxhash64("band", "word").alias("key"), "cls")
     sizes = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
@@ -165,8 +169,8 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     led = materialise(member.join(hubs, "key").where("cls <> hub").select("key", "cls", "hub"), "led")
     star = materialise(led.select(F.least("hub", "cls").alias("u"), F.greatest("hub", "cls").alias("v")).distinct(), "star")
     wanted = star.select(F.col("u").alias("cls")).union(star.select(F.col("v").alias("cls"))).distinct()
-    # of each class, the text of its least id; the equal texts of a repeated id count once
-    texts = materialise(pack_texts(base).join(classes.join(wanted, "cls").select("cls", "id"), "id")
+    # of each class, the text of its least id and text hash; equal texts of a repeated id count once
+    texts = materialise(pack_texts(base).join(classes.join(wanted, "cls").select("cls", "least.id", "least.tid"), ["id", "tid"])
                         .groupBy("cls").agg(F.first("packed").alias("packed")), "texts")
     links = materialise(_confirmed(star, texts, words, percent), "links")
     # the star has compared every hub with its whole bucket, and buckets with the same other members ask the same thing
@@ -201,9 +205,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
-    """``docs`` without the documents whose group holds a smaller id, and without rows that repeat an id."""
-    kept = (near_duplicates(docs, id_col, text_col, words, percent).where("kept")
-            .select(id_key(id_col).alias("_quire_id")).distinct())
-    first = Window.partitionBy("_quire_id").orderBy("_quire_id")
-    return (docs.withColumn("_quire_id", id_key(id_col)).join(kept, "_quire_id", "left_semi")
-            .withColumn("_quire_row", F.row_number().over(first)).where("_quire_row = 1").drop("_quire_id", "_quire_row"))
+    """``docs`` without the documents whose group holds a smaller one (by id, null last, then text hash), repeated rows once."""
+    sketches, links = near_duplicate_classes(docs, id_col, text_col, words, percent)
+    rows = (sketches.join(components(links), F.col("cls") == F.col("node"), "left")
+            .select("id", "tid", F.coalesce("root", "cls").alias("comp")))
+    least = rows.where("comp is not null").groupBy("comp").agg(F.min(F.struct(F.col("id") == F.lit(NULL_ID), "id", "tid")).alias("low"))
+    kept = (rows.join(least, "comp", "left").where("comp is null or (id = low.id and tid = low.tid)")
+            .select(F.col("id").alias("_quire_id"), F.col("tid").alias("_quire_tid")).distinct())
+    keys = ["_quire_id", "_quire_tid"]
+    # repeated rows first: their partial aggregation leaves no large group to a task
+    return (docs.withColumns({"_quire_id": id_key(id_col), "_quire_tid": _text_key(text_col)}).dropDuplicates(keys)
+            .join(kept, keys, "left_semi").select(*docs.columns))

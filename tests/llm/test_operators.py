@@ -80,6 +80,21 @@ def test_op1_blocks_of_large_buckets(spark, monkeypatch):
     assert {r["component_id"] for r in got} == {0}
 
 
+def test_op1_ids_of_several_texts(spark):
+    """Null ids and an id with two texts: every clean document stays, near copies go, and links use the class's own text."""
+    from quire.llm.minhash_dedup import drop_near_duplicates, near_duplicate_classes
+    text = {k: " ".join(f"{k}{i}" for i in range(60)) for k in "abcdefgh"}
+    copy = {k: t.replace(f"{k}30", "other") for k, t in text.items()}
+    rows = [*((None, t) for t in text.values()), *((None, copy[k]) for k in "abcd"), (1, copy["e"]), (2, "one text"), (2, "two texts"), (2, "two texts"),
+            (None, None), (None, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert near_duplicate_classes(table)[1].count() == 5
+    kept = [(r["doc_id"], r["text"]) for r in drop_near_duplicates(table).collect()]
+    want = [*((None, k) for k in "abcdfgh"), (1, "e")]
+    assert sorted((str(d), t[0]) for d, t in kept if t and len(t) > 20) == sorted((str(d), k) for d, k in want)
+    assert Counter(r for r in kept if not r[1] or len(r[1]) <= 20) == Counter([(2, "one text"), (2, "two texts"), (None, None), (None, "")])
+
+
 def test_op2_toxicity(spark, odd_docs):
     from quire.llm.toxicity import drop_toxic, fit, fold_of, score
     rng = np.random.default_rng(1)
