@@ -1,5 +1,7 @@
 """The registered queries against their SQL, and the pipeline's stages against their operators' rules."""
 
+from collections import Counter
+
 import duckdb
 import pytest
 
@@ -11,17 +13,17 @@ from quire.llm.queries import ORACLES, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     df = QUERIES[name](spark, SMALL)
     cur = con.execute(ORACLES[name])
     cols = [d[0] for d in cur.description]
     assert sorted(cols) == sorted(df.columns)
-    assert sorted(tuple(r[c] for c in cols) for r in df.collect()) == sorted(map(tuple, cur.fetchall()))
+    assert Counter(tuple(r[c] for c in cols) for r in df.collect()) == Counter(map(tuple, cur.fetchall()))
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_one_query_each():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark):
