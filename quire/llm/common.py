@@ -6,8 +6,11 @@ nothing else, so extra columns (whatever their names) never clash.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 
+import pyarrow as pa
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,10 +63,38 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: broadcasts of this driver that :func:`release` has not freed yet
+_sent: list[Broadcast] = []
+
+
 def share(spark: SparkSession, value) -> Broadcast:
     """Broadcast of a value of bounded size, classes of this package included; tasks read it with :func:`shared`."""
-    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    _sent.append(spark.sparkContext.broadcast(cloudpickle.dumps(value)))
+    return _sent[-1]
 
 
 def shared(value: Broadcast):
+    give_back()
     return cloudpickle.loads(value.value)
+
+
+def release() -> None:
+    """Frees what :func:`share` has put on the executors; a frame that is evaluated after all fetches it anew."""
+    while _sent:
+        _sent.pop().unpersist()
+
+
+def discard(value: Broadcast) -> None:
+    """Ends a broadcast for good; nothing may be evaluated with it afterwards."""
+    _sent[:] = [x for x in _sent if x is not value]
+    value.destroy()
+
+
+def give_back() -> None:
+    """Memory that earlier tasks of this Python worker have freed goes back to the system (Spark keeps its workers)."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):       # another C library
+        pass

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm import kernel as K
-from quire.llm.common import materialise, share, shared
+from quire.llm.common import discard, materialise, share, shared
 
 BUCKETS = 10_000
 MAX_WORDS = 2
@@ -158,7 +158,7 @@ def importance_scores(docs: DataFrame, target: DataFrame, id_col: str = "doc_id"
     noise = F.floor(-1000 * F.log(-F.log((noise + 0.5) / 4294967296.0))).cast("long")
     sent = share(docs.sparkSession, gain)
     scored = materialise(_weights(rows, sent, max_words, rows.dtypes[0][1]).withColumn("score", F.col("weight") + noise), "scores")
-    sent.destroy()
+    discard(sent)
     band = F.floor(F.col("score") / BAND).cast("long")
     may = F.col("n_words") >= least_words
     counts = dict(scored.where(may).groupBy(band.alias("band")).agg(F.count("*").alias("n")).collect())

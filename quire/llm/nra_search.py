@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm import kernel as K
-from quire.llm.common import materialise, share, shared
+from quire.llm.common import discard, materialise, share, shared
 
 PART_BYTES = 16 << 20
 #: a part ends at so many documents, too
@@ -283,8 +283,8 @@ def rank_documents(docs: DataFrame, items: DataFrame, k: int = 20, id_col: str =
                   .where(F.col("rank") <= k).join(names, "item")
                   .select(F.col("_item").alias(item_col), F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "score", "item_key"))
         ranked = materialise(ranked, f"ranked{b}")         # the block's work is done before its broadcasts go
-        first.destroy()
-        sent.destroy()
+        discard(first)
+        discard(sent)
         out = ranked if out is None else out.unionByName(ranked)
     if out is None:
         out = spark.createDataFrame([], f"{item_col} {item_type}, rank int, {id_col} {index.id_type}, score long, item_key long")

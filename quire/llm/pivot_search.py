@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialise, share, shared
+from quire.llm.common import discard, materialise, share, shared
 
 SCALE = 1024
 #: rows among which pivots are chosen, and how many are chosen
@@ -200,7 +200,7 @@ def exact_top_k(vectors: DataFrame, is_query: Column | None = None, k: int = 10,
                 .select("query_id", F.col("rank").cast("int").alias("rank"),
                         F.when(F.col("found") != int(_LAST), F.col("found")).alias(id_col), "score", "query_key"))
         best = materialise(best, f"best{b}")               # the block's work is done before its broadcast goes
-        sent.destroy()
+        discard(sent)
         out = best if out is None else out.unionByName(best)
     if out is None:
         out = spark.createDataFrame([], f"query_id long, rank int, {id_col} long, score long, query_key long")

@@ -40,7 +40,9 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: the split pattern that belongs to the vocabulary file (fixed value)
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SEQUENCE, SHARD, KEY = 2048, 4096, 0x5EED_0F_DA7A
-CACHED_PIECES = 1 << 18
+CACHED_PIECES = 1 << 16
+#: bytes of text that are cut into tokens at a time
+SLICE_BYTES = 1 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -135,7 +137,7 @@ def _pack(ranks, length: int):
 
         for batch in batches:
             ids = batch.column("id").to_pylist()
-            for a, b, buf, offsets in K.text_slices(batch.column("text"), 4 << 20):
+            for a, b, buf, offsets in K.text_slices(batch.column("text"), SLICE_BYTES):
                 got, per_row = tokenizer.tokens(buf, offsets)
                 flat = np.concatenate([held, got])
                 owners = held_docs + list(zip(ids[a:b], per_row.tolist()))
