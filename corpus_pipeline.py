@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm.common import materialise, read_table
+from quire.llm.common import materialise, read_table, release
 from quire.llm.decontaminate import drop_contaminated
 from quire.llm.minhash_dedup import drop_near_duplicates
 from quire.llm.mixing import take_mix
@@ -12,6 +14,14 @@ from quire.llm.token_output import write_training_order
 from quire.llm.toxicity import drop_toxic, fit
 
 
+def _stage(name: str, apply: Callable[[SparkSession, DataFrame, str], DataFrame]):
+    """The stage ``name``; what earlier stages have broadcast is freed first, since their rows are written by then."""
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release()
+        return apply(spark, docs, sf_dir)
+    return name, run
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model, fitted on the labelled ones, does not call toxic."""
     return drop_toxic(docs, fit(docs, read_table(spark, sf_dir, "labels")))
@@ -37,8 +47,8 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return write_training_order(docs)
 
 
-STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("decontamination", decontamination), ("mixing", mixing),
-          ("token_output", token_output)]
+STAGES = [_stage("toxicity", toxicity), _stage("near_dedup", near_dedup), _stage("decontamination", decontamination),
+          _stage("mixing", mixing), _stage("token_output", token_output)]
 
 #: a trained model and a tokenizer have no SQL; the tests hold each stage against brute force
 ORACLE_SQL = None
