@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.keys import hash_bucket
+from quire.session import written
 
 
 def bucketed_rank(df: DataFrame, order_key: str, group_cols: Sequence[str] = (),
@@ -45,6 +46,33 @@ def bucketed_rank(df: DataFrame, order_key: str, group_cols: Sequence[str] = (),
     return out.drop(b, "__off")
 
 
+def range_rank(df: DataFrame, order: Sequence[Column], group_cols: Sequence[str] = (), rank_col: str = "rank") -> DataFrame:
+    """Add a 1-based ``rank_col`` by ``order`` within ``group_cols``, for any distribution of the keys.
+
+    Spark's range partitioner samples the keys and cuts them into even ranges,
+    so no bucket has to be chosen by hand; rows are numbered inside their range,
+    and the ranges' row counts (one number per partition, summed up on the
+    driver) give each its offset.  The ranged rows are written first: the
+    sample, and so the ranges, could differ if they were made twice.  Rows with
+    equal keys share a range, so add a unique column last.
+    """
+    g = list(group_cols)
+    keys = [F.col(c).asc() for c in g] + list(order)
+    rows = written(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__at", F.monotonically_increasing_id()))
+    part = F.shiftright("__at", 33)
+    before, offsets = 0, []
+    for r in rows.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("n")).orderBy("__part").collect():
+        offsets.append((r["__part"], before))
+        before += r["n"]
+    starts = df.sparkSession.createDataFrame(offsets, "__part long, __before long")
+    out = rows.withColumn("__part", part).join(F.broadcast(starts), "__part")
+    out = out.withColumn(rank_col, F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + 1)
+    if g:
+        out = out.join(out.groupBy(*g).agg(F.min(rank_col).alias("__first")), g)
+        out = out.withColumn(rank_col, F.col(rank_col) - F.col("__first") + 1)
+    return out.select(*df.columns, rank_col)
+
+
 def ntile_of_rank(rank: Column, n: Column, tiles: int) -> Column:
     """0-based ``ntile(tiles)`` bucket of a 1-based rank among n rows
     (the first ``n % tiles`` tiles get one extra row, as SQL ``ntile``)."""

@@ -24,7 +24,7 @@ MIN_MASK_TOKENS = 5
 def lm_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = doc_sentences(spark, sf_dir)
     return s.select(F.concat_ws("-", "doc_id", "para_no", "sent_no").alias("sid"),
-                    F.col("lang").alias("corpus"), "doc_id", "tokens", "sentence_text")
+                    F.col("lang").alias("corpus"), "doc_id", "para_no", "sent_no", "tokens", "sentence_text")
 
 
 def lm_model(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
