@@ -20,12 +20,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.session import written
+
 # --- fixed values that must equal the reference ---------------------------
 BOS = "s_1"                      # start mark (twice before a sentence)
 EOS = "s_2"                      # end mark
 LAMBDA_UNI, LAMBDA_BI, LAMBDA_TRI = 0.99, 0.003, 0.007
 # ---------------------------------------------------------------------------
-BROADCAST_CONTEXTS = 200_000     # distinct contexts small enough to broadcast as a filter
 
 
 def _c(c) -> Column:
@@ -180,97 +181,79 @@ def model_tables(counts: DataFrame, totals: DataFrame) -> dict[str, DataFrame]:
             "totals": totals.select("corpus", "total", "vocab")}
 
 
-def _best_ab(need_w1: DataFrame, uni: DataFrame, bi: DataFrame, d2: DataFrame, t: DataFrame) -> DataFrame:
-    """argmax over w of A(w) + B(w1, w) for every needed w1: the seen bigram
-    successors of w1 plus the top unigram (ties: smaller token)."""
-    cand_uni = uni.filter(~F.col("w").isin(BOS, EOS))
-    top_uni = (cand_uni.withColumn("rk", F.row_number().over(
-        Window.partitionBy("corpus").orderBy(F.desc("c1"), F.asc("w")))).filter("rk = 1")
-        .select("corpus", "w"))
-    ab_bi = bi.join(need_w1, ["corpus", "w1"], "left_semi").join(cand_uni, ["corpus", "w"])
-    ab_top = need_w1.join(top_uni, "corpus").join(cand_uni, ["corpus", "w"]) \
-        .join(bi, ["corpus", "w1", "w"], "left").withColumn("c2", F.coalesce("c2", F.lit(0)))
-    ab = ab_bi.select("corpus", "w1", "w", "c1", "c2").unionByName(
-        ab_top.select("corpus", "w1", "w", "c1", "c2"))
-    ab = ab.join(d2, ["corpus", "w1"], "left").join(F.broadcast(t), "corpus")
-    ab = ab.withColumn(
-        "ab", F.lit(LAMBDA_UNI) * (F.col("c1") + 1) / (F.col("total") + F.col("vocab"))
-        + F.lit(LAMBDA_BI) * (F.col("c2") + 1) / (F.coalesce("d2", F.lit(0)) + F.col("vocab")))
-    wab = Window.partitionBy("corpus", "w1").orderBy(F.desc("ab"), F.asc("w"))
-    return ab.withColumn("rk", F.row_number().over(wab)).filter("rk = 1").select("corpus", "w1", "w")
-
-
-def with_best_ab(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Precompute best_AB for every w1 of the vocabulary (one pass over the
-    bigram table), for callers that ask for next tokens many times."""
-    uni = tables["uni"]
-    all_w1 = uni.select("corpus", F.col("w").alias("w1"))
-    d2 = uni.select("corpus", F.col("w").alias("w1"), F.col("c1").alias("d2"))
-    out = dict(tables)
-    out["best_ab"] = _best_ab(all_w1, uni, tables["bi"], d2, tables["totals"])
-    cand = uni.filter(~F.col("w").isin(BOS, EOS))
-    out["top_uni"] = (cand.withColumn("rk", F.row_number().over(
-        Window.partitionBy("corpus").orderBy(F.desc("c1"), F.asc("w")))).filter("rk = 1")
-        .select("corpus", F.col("w").alias("top_w")))
-    return out
-
-
-def best_next_token(contexts: DataFrame, counts: DataFrame | None, totals: DataFrame | None,
-                    tables: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Most probable next token for each distinct (corpus, w2, w1).
-
-    Exact pruning.  The score of a candidate w is A(w) + B(w1, w) + C(w2, w1, w)
-    (unigram, bigram, trigram terms).  For w without a seen trigram, C is a
-    per-context constant, so among them the winner is the argmax of A + B,
-    which depends on w1 only; and the argmax of A + B itself (over seen bigram
-    successors plus the top unigram, for the same reason one level down)
-    beats every trigram-less candidate even when it has a trigram.  So the
-    candidates are: seen trigram successors of (w2, w1) plus best_AB(w1).
-    Ties: higher probability, then smaller token.  ``tables`` may pass
-    :func:`model_tables` output prepared once (e.g. for many rounds).
+class NextTokens:
+    """The most probable next token of every context, as look-up tables: after_two(corpus, w2, w1, token, p) for the
+    contexts seen, after_one(corpus, w1, token, p) for words that follow another one than any seen, after_none(corpus,
+    token, p) for words the corpus does not have."""
+
+    def __init__(self, after_two: DataFrame, after_one: DataFrame, after_none: DataFrame):
+        self.after_two, self.after_one, self.after_none = after_two, after_one, after_none
+
+
+def next_token_index(counts: DataFrame, totals: DataFrame) -> NextTokens:
+    """N12 for all contexts at once, by aggregations over the count tables.
+
+    A candidate w scores A(w) + B(w1, w) + C(w2, w1, w) (unigram, bigram,
+    trigram terms).  Without a seen bigram B is constant, so among those the
+    most frequent token wins; without a seen trigram C is constant, so among
+    those the winner of A + B does.  So the best after (w2, w1) is the best of
+    the seen trigrams' last tokens and the best after w1 alone, which in turn
+    is the best of the seen bigrams' last tokens and the most frequent token.
+    Each step is a minimum of (-score, token), which aggregates before the
+    shuffle: no context meets the vocabulary, and a frequent word is no hot
+    task.  Ties: smaller token.  Boundary marks are never candidates.
     """
-    t_ = tables if tables is not None else model_tables(counts, totals)
-    uni, bi, tri, t = t_["uni"], t_["bi"], t_["tri"], t_["totals"]
+    t = model_tables(counts, totals)
+    words = t["uni"].filter(~F.col("w").isin(BOS, EOS))
+    size = F.broadcast(t["totals"])                       # one row per corpus
+    d2 = t["uni"].select("corpus", F.col("w").alias("w1"), F.col("c1").alias("d2"))
+    ctx = t["ctx3"].select("corpus", F.split("ctx3", " ").alias("g"), "d3")
+    ctx = ctx.select("corpus", F.col("g")[0].alias("w2"), F.col("g")[1].alias("w1"), "d3").filter(F.col("w1") != EOS)
+
+    def p(c2, d2_, c3, d3_) -> Column:
+        return _interpolate(F.col("c1"), c2, d2_, c3, d3_, F.col("total"), F.col("vocab"))
+
+    def best(score: Column, token: str = "w") -> Column:
+        return F.min(F.struct((-score).alias("s"), F.col(token).alias("token")))
+
+    zero = F.lit(0)
+    most = words.groupBy("corpus").agg(F.min(F.struct((-F.col("c1")).alias("n"), F.col("w").alias("token"))).alias("x"))
+    most = written(most.join(size, "corpus").select("corpus", F.col("x.token").alias("token"), (-F.col("x.n")).alias("c1"), "total", "vocab"))
+    after_none = most.select("corpus", "token", p(zero, zero, zero, zero).alias("p"))
+
+    pairs = t["bi"].join(words, ["corpus", "w"]).join(d2, ["corpus", "w1"]).join(size, "corpus")
+    pairs = written(pairs.select("corpus", "w1", "w", "c1", "c2", "d2", "total", "vocab"))
+    seen = pairs.groupBy("corpus", "w1").agg(best(p(F.col("c2"), F.col("d2"), zero, zero)).alias("x"))
+    one = d2.filter(F.col("w1") != EOS).join(seen, ["corpus", "w1"], "left").join(F.broadcast(most), "corpus")
+    # the score is the one in a context that was never seen: it differs from A + B by a constant
+    one = one.select("corpus", "w1", F.least(F.col("x"), F.struct((-p(zero, F.col("d2"), zero, zero)).alias("s"), "token")).alias("x"), "d2", "vocab")
+    after_one = written(one.select("corpus", "w1", F.col("x.token").alias("token"), (-F.col("x.s")).alias("p"), "vocab"))
+
+    triples = t["tri"].join(pairs, ["corpus", "w1", "w"]).join(ctx, ["corpus", "w2", "w1"])
+    last = triples.groupBy("corpus", "w2", "w1").agg(best(p(F.col("c2"), F.col("d2"), F.col("c3"), F.col("d3"))).alias("x"))
+    two = ctx.join(last, ["corpus", "w2", "w1"], "left").join(after_one, ["corpus", "w1"])
+    # from the constant of a context never seen to the constant of this one
+    other = F.col("p") - LAMBDA_TRI / F.col("vocab") + LAMBDA_TRI / (F.col("d3") + F.col("vocab"))
+    two = two.select("corpus", "w2", "w1", F.least(F.col("x"), F.struct((-other).alias("s"), F.col("token"))).alias("x"))
+    after_two = written(two.select("corpus", "w2", "w1", F.col("x.token").alias("token"), (-F.col("x.s")).alias("p")))
+    return NextTokens(after_two, after_one.drop("vocab"), after_none)
+
+
+def look_up_next(contexts: DataFrame, index: NextTokens) -> DataFrame:
+    """``contexts`` (corpus, w2, w1, ...) with ``token`` and ``p``; the index is first cut down to the contexts asked for."""
+    two = index.after_two.join(contexts.select("corpus", "w2", "w1"), ["corpus", "w2", "w1"], "left_semi")
+    one = index.after_one.join(contexts.select("corpus", "w1"), ["corpus", "w1"], "left_semi")
+    found = (contexts.join(two, ["corpus", "w2", "w1"], "left")
+             .join(one.withColumnsRenamed({"token": "__t1", "p": "__p1"}), ["corpus", "w1"], "left")
+             .join(F.broadcast(index.after_none.withColumnsRenamed({"token": "__t0", "p": "__p0"})), "corpus", "left"))
+    return found.select(*contexts.columns, F.coalesce("token", "__t1", "__t0").alias("token"), F.coalesce("p", "__p1", "__p0").alias("p"))
+
+
+def best_next_token(contexts: DataFrame, counts: DataFrame, totals: DataFrame) -> DataFrame:
+    """Most probable next token for each distinct (corpus, w2, w1); a corpus without a model has none."""
     ctx = contexts.select("corpus", "w2", "w1").distinct()
-    # Broadcast the context keys behind a size check: below the bound the
-    # bigram / trigram tables are filtered by a broadcast semi-join while
-    # being scanned (no shuffle of the big tables); above it, shuffle joins.
-    n_ctx = ctx.count()
-    small = n_ctx <= BROADCAST_CONTEXTS
-    bc = F.broadcast if small else (lambda d: d)
-    need_w1 = ctx.select("corpus", "w1").distinct()
-    bi = bi.join(bc(need_w1), ["corpus", "w1"], "left_semi")
-    tri = tri.join(bc(ctx), ["corpus", "w2", "w1"], "left_semi")
-    cand_uni = uni.filter(~F.col("w").isin(BOS, EOS))
-    d2 = uni.select("corpus", F.col("w").alias("w1"), F.col("c1").alias("d2")) \
-        .join(bc(need_w1), ["corpus", "w1"], "left_semi")
-    ctx3_keys = ctx.select("corpus", F.concat_ws(" ", "w2", "w1").alias("ctx3"))
-    d3 = t_["ctx3"].join(bc(ctx3_keys), ["corpus", "ctx3"], "left_semi")
-    need_w1 = ctx.select("corpus", "w1").distinct()
-    if "best_ab" in t_:
-        # a w1 outside the vocabulary has no bigram: its best is the top unigram
-        best_ab = (need_w1.join(t_["best_ab"], ["corpus", "w1"], "left").join(t_["top_uni"], "corpus")
-                   .select("corpus", "w1", F.coalesce("w", "top_w").alias("w")))
-    else:
-        best_ab = _best_ab(need_w1, uni, bi, d2, t)
-
-    tri_c = tri.join(cand_uni.select("corpus", "w"), ["corpus", "w"]).select("corpus", "w2", "w1", "w")
-    cands = tri_c.unionByName(ctx.join(best_ab, ["corpus", "w1"]).select("corpus", "w2", "w1", "w")).distinct()
-    scored = (cands.join(uni, ["corpus", "w"])
-              .join(bi, ["corpus", "w1", "w"], "left")
-              .join(tri, ["corpus", "w2", "w1", "w"], "left")
-              .join(d2, ["corpus", "w1"], "left")
-              .withColumn("ctx3", F.concat_ws(" ", "w2", "w1"))
-              .join(d3, ["corpus", "ctx3"], "left")
-              .join(F.broadcast(t), "corpus"))
-    scored = scored.select(
-        "corpus", "w2", "w1", F.col("w").alias("token"),
-        _interpolate(F.col("c1"), F.coalesce("c2", F.lit(0)), F.coalesce("d2", F.lit(0)),
-                     F.coalesce("c3", F.lit(0)), F.coalesce("d3", F.lit(0)),
-                     F.col("total"), F.col("vocab")).alias("p"))
-    w = Window.partitionBy("corpus", "w2", "w1").orderBy(F.desc("p"), F.asc("token"))
-    return (scored.withColumn("rk", F.row_number().over(w)).filter("rk = 1")
-            .select("corpus", "w2", "w1", "token", "p"))
+    found = look_up_next(ctx, next_token_index(counts, totals))
+    return found.filter(F.col("token").isNotNull()).select("corpus", "w2", "w1", "token", "p")
 
 
 # --------------------------------------------------------------------------

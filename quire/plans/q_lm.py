@@ -5,7 +5,7 @@ One model per ``lang``.  Sentence id ``sid`` = ``doc_id-para_no-sent_no``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions.keys import hash_key
@@ -13,10 +13,10 @@ from quire.operators import ngrams as N
 from quire.operators.fill import fill_masks
 from quire.plans.common import SQL_DOC_SENTENCES, doc_sentences
 from quire.plans.registry import query
-from quire.session import cut_lineage
+from quire.session import written
 
 SEED = 42
-MASK_CORPUS, MODEL_CORPUS, OTHER_CORPUS = "fr", "en", "fr"   # sentences, filling model, second model
+SAMPLE_CORPUS = "fr"                     # of the sampled sentences
 MASK_PCT = 10
 MIN_MASK_TOKENS = 5
 
@@ -28,13 +28,19 @@ def lm_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lm_model(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sentences (materialised once: the model and the scoring both read
-    them) with the count and total tables."""
-    s = cut_lineage(lm_sentences(spark, sf_dir))
-    counts = N.ngram_counts(s)
+    """Sentences and n-gram counts, each written once for all that reads them, with the totals."""
+    s = written(lm_sentences(spark, sf_dir))
+    counts = written(N.ngram_counts(s))
     return s, counts, N.totals_from_counts(counts)
 
 
+def other_models(s: DataFrame) -> DataFrame:
+    """(corpus, model): each corpus with the next one in order, the last with the first."""
+    c = s.select("corpus").distinct()
+    w = Window.orderBy("corpus")                  # one row per corpus
+    return c.select("corpus", F.coalesce(F.lead("corpus").over(w), F.first("corpus").over(w)).alias("model"))
+
+
 # ---------------------------------------------------------------- SQL twins
 SQL_LM = f"""
 {SQL_DOC_SENTENCES},
@@ -84,7 +90,7 @@ SELECT corpus AS lang, CAST(n AS BIGINT) AS n, gram, cnt FROM counts
 """)
 def q_ngram_counts(spark, sf_dir):
     """Unigram, bigram and trigram counts per corpus (s_1 s_1 ... s_2 padding)."""
-    _, counts, _ = lm_model(spark, sf_dir)
+    counts = N.ngram_counts(lm_sentences(spark, sf_dir))
     return counts.select(F.col("corpus").alias("lang"), F.col("n").cast("bigint").alias("n"), "gram", "cnt")
 
 
@@ -133,76 +139,90 @@ def q_mean_perplexity(spark, sf_dir):
             .agg(F.round(F.avg("perplexity"), 4).alias("mean_perplexity")))
 
 
+_SQL_MODELS = """
+models AS (SELECT corpus, coalesce(lead(corpus) OVER (ORDER BY corpus), first(corpus) OVER (ORDER BY corpus)) AS model
+           FROM (SELECT DISTINCT corpus FROM lm_s))"""
+
+
 @query("compare_models", f"""
-WITH {SQL_LM},
-two AS (SELECT sid, m.corpus, tokens FROM lm_s, (VALUES ('{MODEL_CORPUS}'), ('{OTHER_CORPUS}')) m(corpus)
-        WHERE lm_s.corpus = '{MASK_CORPUS}'),
+WITH {SQL_LM}, {_SQL_MODELS},
+two AS (SELECT sid, m.model AS corpus, tokens FROM lm_s JOIN models m USING (corpus) UNION ALL SELECT sid, corpus, tokens FROM lm_s),
 {sql_position_probs('two')}
 SELECT sid, corpus AS model, round(sum(log2(p)), 6) AS log_prob FROM pp GROUP BY sid, corpus
 """)
 def q_compare_models(spark, sf_dir):
-    """log2 probability of each sentence of one corpus under two corpus models."""
+    """log2 probability of each sentence of every corpus under its own model and under another corpus'."""
     s, counts, totals = lm_model(spark, sf_dir)
-    two = (s.filter(F.col("corpus") == MASK_CORPUS)
-           .select("sid", "tokens", F.explode(F.array(F.lit(MODEL_CORPUS), F.lit(OTHER_CORPUS))).alias("model")))
+    two = s.join(other_models(s), "corpus").select("sid", "tokens", F.explode(F.array("corpus", "model")).alias("model"))
     r = N.sentence_scores(two, counts, totals, model_col="model")
     return r.select("sid", F.col("corpus").alias("model"), F.round("log_prob", 6).alias("log_prob"))
 
 
-@query("best_next_token", f"""
-WITH {SQL_LM},
-ctx AS (SELECT DISTINCT corpus, tokens[1] AS w2, tokens[2] AS w1 FROM lm_s),
+SQL_NEXT = """
 uni AS (SELECT corpus, gram AS w, cnt AS c1 FROM counts WHERE n = 1 AND gram NOT IN ('s_1', 's_2')),
-top_uni AS (SELECT corpus, w FROM (SELECT *, row_number() OVER (PARTITION BY corpus ORDER BY c1 DESC, w) AS rk
-            FROM uni) WHERE rk = 1),
-bi AS (SELECT corpus, split_part(gram, ' ', 1) AS w1, split_part(gram, ' ', 2) AS w, cnt FROM counts WHERE n = 2),
-cand AS (
-  SELECT ctx.corpus, ctx.w2, ctx.w1, bi.w FROM ctx JOIN bi ON bi.corpus = ctx.corpus AND bi.w1 = ctx.w1
-  UNION SELECT ctx.corpus, ctx.w2, ctx.w1, top_uni.w FROM ctx JOIN top_uni ON top_uni.corpus = ctx.corpus
+bi AS (SELECT corpus, split_part(gram, ' ', 1) AS w1, split_part(gram, ' ', 2) AS w, gram, cnt FROM counts WHERE n = 2),
+tri AS (SELECT corpus, split_part(gram, ' ', 1) AS w2, split_part(gram, ' ', 2) AS w1, split_part(gram, ' ', 3) AS w, cnt FROM counts WHERE n = 3),
+top_uni AS (SELECT corpus, w FROM uni QUALIFY row_number() OVER (PARTITION BY corpus ORDER BY c1 DESC, w) = 1),
+words AS (SELECT corpus, gram AS w1, cnt AS d2 FROM counts WHERE n = 1 AND gram <> 's_2'),
+cand_one AS (
+  SELECT corpus, w1, w FROM bi JOIN uni USING (corpus, w)
+  UNION SELECT x.corpus, x.w1, t.w FROM words x JOIN top_uni t USING (corpus)
+),
+after_one AS (
+  SELECT corpus, w1, w AS token FROM (
+    SELECT c.corpus, c.w1, c.w, 0.99 * (u.c1 + 1) / (t.total + t.vocab) + 0.003 * (coalesce(b.cnt, 0) + 1) / (x.d2 + t.vocab) AS s
+    FROM cand_one c JOIN uni u USING (corpus, w) JOIN totals t USING (corpus) JOIN words x USING (corpus, w1)
+    LEFT JOIN bi b USING (corpus, w1, w))
+  QUALIFY row_number() OVER (PARTITION BY corpus, w1 ORDER BY s DESC, w) = 1
+),
+cand_two AS (
+  SELECT corpus, w2, w1, w FROM tri JOIN uni USING (corpus, w)
+  UNION SELECT b.corpus, b.w1, b.w, o.token FROM bi b JOIN after_one o ON o.corpus = b.corpus AND o.w1 = b.w
 ),
-scored AS (
-  SELECT c.corpus, c.w2, c.w1, c.w AS token,
-         0.99 * (u.c1 + 1) / (t.total + t.vocab)
-       + 0.003 * (coalesce(b.cnt, 0) + 1) / (coalesce(d2.cnt, 0) + t.vocab)
-       + 0.007 * (coalesce(tr.cnt, 0) + 1) / (coalesce(d3.cnt, 0) + t.vocab) AS p
-  FROM cand c JOIN uni u ON u.corpus = c.corpus AND u.w = c.w
-  JOIN totals t ON t.corpus = c.corpus
-  LEFT JOIN counts b ON b.corpus = c.corpus AND b.n = 2 AND b.gram = c.w1 || ' ' || c.w
-  LEFT JOIN counts d2 ON d2.corpus = c.corpus AND d2.n = 1 AND d2.gram = c.w1
-  LEFT JOIN counts tr ON tr.corpus = c.corpus AND tr.n = 3 AND tr.gram = c.w2 || ' ' || c.w1 || ' ' || c.w
-  LEFT JOIN counts d3 ON d3.corpus = c.corpus AND d3.n = 2 AND d3.gram = c.w2 || ' ' || c.w1
-)
-SELECT corpus AS lang, w2, w1, token, round(p, 10) AS p FROM (
-  SELECT *, row_number() OVER (PARTITION BY corpus, w2, w1 ORDER BY p DESC, token) AS rk FROM scored
-) WHERE rk = 1
+after_two AS (
+  SELECT corpus, w2, w1, w AS token, p FROM (
+    SELECT c.corpus, c.w2, c.w1, c.w,
+           0.99 * (u.c1 + 1) / (t.total + t.vocab) + 0.003 * (coalesce(b.cnt, 0) + 1) / (x.d2 + t.vocab)
+         + 0.007 * (coalesce(tr.cnt, 0) + 1) / (d3.cnt + t.vocab) AS p
+    FROM cand_two c JOIN uni u USING (corpus, w) JOIN totals t USING (corpus) JOIN words x USING (corpus, w1)
+    JOIN bi d3 ON d3.corpus = c.corpus AND d3.w1 = c.w2 AND d3.w = c.w1
+    LEFT JOIN bi b ON b.corpus = c.corpus AND b.w1 = c.w1 AND b.w = c.w
+    LEFT JOIN tri tr ON tr.corpus = c.corpus AND tr.w2 = c.w2 AND tr.w1 = c.w1 AND tr.w = c.w)
+  QUALIFY row_number() OVER (PARTITION BY corpus, w2, w1 ORDER BY p DESC, w) = 1
+)"""
+
+
+@query("best_next_token", f"""
+WITH {SQL_LM}, {SQL_NEXT}
+SELECT corpus AS lang, w2, w1, token, round(p, 10) AS p FROM after_two
 """)
 def q_best_next_token(spark, sf_dir):
-    """Most probable next token after the first two tokens of every sentence."""
+    """Most probable next token after every two tokens (start marks too) that occur together."""
     s, counts, totals = lm_model(spark, sf_dir)
-    ctx = s.select("corpus", F.element_at("tokens", 1).alias("w2"), F.element_at("tokens", 2).alias("w1"))
-    r = N.best_next_token(ctx, counts, totals)
+    r = N.next_token_index(counts, totals).after_two
     return r.select(F.col("corpus").alias("lang"), "w2", "w1", "token", F.round("p", 10).alias("p"))
 
 
-@query("mask_tokens", f"""
-WITH {SQL_DOC_SENTENCES},
+_SQL_MASKED = f"""
 m AS (
-  SELECT concat_ws('-', doc_id, para_no, sent_no) AS sid, tokens,
+  SELECT concat_ws('-', doc_id, para_no, sent_no) AS sid, lang, tokens,
          greatest(1, CAST(floor(len(tokens) * {MASK_PCT} / 100) AS INTEGER)) AS k
-  FROM sentences WHERE lang = '{MASK_CORPUS}' AND len(tokens) >= {MIN_MASK_TOKENS}
+  FROM sentences WHERE len(tokens) >= {MIN_MASK_TOKENS}
 ),
-h AS (SELECT sid, tokens, k,
+h AS (SELECT sid, lang, tokens, k,
              list_transform(tokens, lambda t, i: md5('{SEED}-' || sid || '-' || CAST(i - 1 AS VARCHAR))) AS hs
-      FROM m)
-SELECT sid, array_to_string(list_transform(list_zip(tokens, hs),
-         lambda z: CASE WHEN z[2] <= list_sort(hs)[k] THEN '[*]' ELSE z[1] END), ' ') AS masked_sentence,
-       CAST(k AS BIGINT) AS n_masked
-FROM h
+      FROM m),
+masked AS (SELECT sid, lang, k, list_transform(list_zip(tokens, hs),
+             lambda z: CASE WHEN z[2] <= list_sort(hs)[k] THEN '[*]' ELSE z[1] END) AS toks FROM h)"""
+
+
+@query("mask_tokens", f"""
+WITH {SQL_DOC_SENTENCES}, {_SQL_MASKED}
+SELECT sid, array_to_string(toks, ' ') AS masked_sentence, CAST(k AS BIGINT) AS n_masked FROM masked
 """)
 def q_mask_tokens(spark, sf_dir):
-    """Mask max(1, 10 %) seeded tokens of every sentence with >= 5 tokens of one corpus."""
-    s = lm_sentences(spark, sf_dir).filter((F.col("corpus") == MASK_CORPUS)
-                                           & (F.size("tokens") >= MIN_MASK_TOKENS))
+    """Mask max(1, 10 %) seeded tokens of every sentence with >= 5 tokens."""
+    s = lm_sentences(spark, sf_dir).filter(F.size("tokens") >= MIN_MASK_TOKENS)
     s = N.mask_sentences(s, "tokens", "sid", SEED, MASK_PCT)
     return s.select("sid", F.array_join("masked", " ").alias("masked_sentence"),
                     F.greatest(F.lit(1), F.floor(F.size("tokens") * MASK_PCT / 100)).cast("bigint")
@@ -212,22 +232,55 @@ def q_mask_tokens(spark, sf_dir):
 @query("sample_sentences", f"""
 WITH {SQL_DOC_SENTENCES}
 SELECT concat_ws('-', doc_id, para_no, sent_no) AS sid, sentence_text FROM sentences
-WHERE lang = '{MASK_CORPUS}' AND len(tokens) >= {MIN_MASK_TOKENS}
+WHERE lang = '{SAMPLE_CORPUS}' AND len(tokens) >= {MIN_MASK_TOKENS}
 ORDER BY md5('{SEED}-' || concat_ws('-', doc_id, para_no, sent_no)) LIMIT 10
 """)
 def q_sample_sentences(spark, sf_dir):
     """10 seeded random sentences with >= 5 tokens (the sample is the feature)."""
-    s = lm_sentences(spark, sf_dir).filter((F.col("corpus") == MASK_CORPUS)
+    s = lm_sentences(spark, sf_dir).filter((F.col("corpus") == SAMPLE_CORPUS)
                                            & (F.size("tokens") >= MIN_MASK_TOKENS))
     return s.orderBy(hash_key(SEED, "sid")).limit(10).select("sid", "sentence_text")
 
 
-@query("fill_masks")
+def _sql_round(i: int) -> str:
+    """Round ``i`` of filling ``fill{i}(sid, corpus, toks)``: every marker with no marker among the two tokens before it."""
+    return f"""
+ready{i} AS (
+  SELECT sid, corpus, r.i AS pos, coalesce(toks[r.i - 2], 's_1') AS w2, coalesce(toks[r.i - 1], 's_1') AS w1
+  FROM fill{i}, unnest(range(1, len(toks) + 1)) AS r(i)
+  WHERE toks[r.i] = '[*]' AND coalesce(toks[r.i - 1], '') <> '[*]' AND coalesce(toks[r.i - 2], '') <> '[*]'
+),
+found{i} AS (
+  SELECT sid, map(list(pos), list(coalesce(a.token, o.token, t.w))) AS f FROM ready{i} x
+  LEFT JOIN after_two a USING (corpus, w2, w1) LEFT JOIN after_one o USING (corpus, w1) JOIN top_uni t USING (corpus) GROUP BY sid
+),
+fill{i + 1} AS (
+  SELECT sid, corpus, CASE WHEN f IS NULL THEN toks ELSE list_transform(toks, lambda x, j: coalesce(f[j], x)) END AS toks
+  FROM fill{i} LEFT JOIN found{i} USING (sid)
+)"""
+
+
+FILL_ROUNDS = 8     # of the SQL twin; the engine goes on until no marker is left
+
+
+@query("fill_masks", f"""
+WITH {SQL_LM}, {_SQL_MODELS}, {_SQL_MASKED}, {SQL_NEXT},
+fill0 AS (SELECT sid, model AS corpus, toks FROM masked JOIN models ON models.corpus = masked.lang),
+{", ".join(_sql_round(i) for i in range(FILL_ROUNDS))},
+twice AS (SELECT sid, corpus, toks AS tokens FROM fill{FILL_ROUNDS}
+         UNION ALL SELECT f.sid, m.lang, f.toks FROM fill{FILL_ROUNDS} f JOIN masked m USING (sid) WHERE m.lang <> f.corpus),
+{sql_position_probs('twice')},
+scores AS (SELECT sid, corpus, sum(log2(p)) AS log_prob, pow(2.0, -avg(log2(p))) AS perplexity FROM pp GROUP BY sid, corpus)
+SELECT f.sid, array_to_string(m.toks, ' ') AS masked_sentence, array_to_string(f.toks, ' ') AS filled_sentence,
+       array_to_string(list_transform(list_filter(list_zip(m.toks, f.toks), lambda z: z[1] = '[*]'), lambda z: z[2]), ', ') AS predicted_tokens,
+       round(s.log_prob, 6) AS log_prob, round(o.log_prob, 6) AS log_prob_other, round(s.perplexity, 6) AS perplexity
+FROM fill{FILL_ROUNDS} f JOIN masked m USING (sid) JOIN scores s ON s.sid = f.sid AND s.corpus = f.corpus JOIN scores o ON o.sid = f.sid AND o.corpus = m.lang
+""")
 def q_fill_masks(spark, sf_dir):
-    """Fill every masked sentence of one corpus with another corpus' model,
-    then score it under both models (N14) and give its perplexity (N8)."""
+    """Fill every masked sentence of every corpus with another corpus' model, then score it under both (N14) and give
+    its perplexity (N8)."""
     s, counts, totals = lm_model(spark, sf_dir)
-    src = s.filter((F.col("corpus") == MASK_CORPUS) & (F.size("tokens") >= MIN_MASK_TOKENS))
+    src = s.filter(F.size("tokens") >= MIN_MASK_TOKENS).join(other_models(s), "corpus")
     masked = N.mask_sentences(src, "tokens", "sid", SEED, MASK_PCT) \
-        .select("sid", "masked", F.lit(MODEL_CORPUS).alias("corpus"))
-    return fill_masks(masked, counts, totals, OTHER_CORPUS)
+        .select("sid", "masked", F.col("model").alias("corpus"), F.col("corpus").alias("own"))
+    return fill_masks(masked, counts, totals, other_col="own")
