@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from quire.functions import text as T
 from quire.operators import corpus as C
 from quire.operators import ngrams as N
+from quire.operators.replace import replace_words
 from quire.plans.common import (LATIN, SQL_DOC_SENTENCES, SQL_SENTENCE_RE, SQL_TOKEN_RE,
                                 doc_sentences, sql_strip)
 from quire.plans.registry import query
@@ -484,15 +485,9 @@ FROM sentences
 """)
 def q_replace_words(spark, sf_dir):
     """Listed words found as substrings are replaced in list order; pairs reported."""
-    s = doc_sentences(spark, sf_dir)
-    orig = F.col("sentence_text")
-    run = orig
-    pairs = []
-    for w, new in REPLACEMENTS:
-        run = F.when(orig.contains(w), F.replace(run, F.lit(w), F.lit(new))).otherwise(run)
-        pairs.append(F.when(orig.contains(w), F.lit(f"({w}:{new})")))
-    return s.select(F.concat_ws("-", "doc_id", "para_no", "sent_no").alias("sid"),
-                    run.alias("replaced"), F.concat_ws(", ", *pairs).alias("pairs"))
+    s = doc_sentences(spark, sf_dir).select(F.concat_ws("-", "doc_id", "para_no", "sent_no").alias("sid"), "sentence_text")
+    listed = spark.createDataFrame([(i, w, new) for i, (w, new) in enumerate(REPLACEMENTS)], "pos int, word string, new string")
+    return replace_words(s, listed, "sentence_text").select("sid", "replaced", "pairs")
 
 
 def render_prompts(reviews: DataFrame, text_col: str = "text") -> DataFrame:

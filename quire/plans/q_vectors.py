@@ -13,6 +13,7 @@ from quire.functions import vectors as VX
 from quire.functions.keys import hash_key
 from quire.operators import metrics as E
 from quire.operators.neighbors import SCORE_DIGITS, knn_vote, topk_similar
+from quire.operators.replace import analogy, replace_words, replacements_by_analogy
 from quire.operators.ranking import bucketed_rank
 from quire.operators.sampling import stratified_folds
 from quire.plans.common import SQL_DOC_SENTENCES, doc_sentences
@@ -21,6 +22,7 @@ from quire.sources.tables import table
 
 SEED = 42
 DIMS = 64
+CHOSEN = 50          # the chosen rows of V3 and V5 have ids divisible by it
 
 
 def _emb(spark, sf_dir) -> DataFrame:
@@ -70,7 +72,7 @@ def word_vector_table(spark, sf_dir) -> DataFrame:
                        "k", bucket=(F.lit(64) - F.floor(F.log2("cnt"))).cast("int"), rank_col="r")
     er = bucketed_rank(_emb(spark, sf_dir), "vec_id", bucket=F.floor(F.col("vec_id") / 1024).cast("int"),
                        rank_col="r")
-    return wr.join(er, "r").select("word", "vec")
+    return wr.join(er, "r").select("word", "vec", "r")
 
 
 SQL_WORDVEC = f"""
@@ -107,7 +109,7 @@ def sentence_vectors(sentences: DataFrame, word_vectors: DataFrame, dim: int) ->
     The per-sentence mean is a ``Summarizer`` aggregate (partial + final),
     so no sentence's vectors are ever collected into a list."""
     t = sentences.select("sid", F.explode("tokens").alias("word"))
-    known = t.join(word_vectors, "word").select("sid", array_to_vector("vec").alias("v"))
+    known = t.join(word_vectors.select("word", "vec"), "word").select("sid", array_to_vector("vec").alias("v"))
     m = known.groupBy("sid").agg(Summarizer.mean(F.col("v")).alias("m"), F.count(F.lit(1)).alias("n_known"))
     m = m.select("sid", "n_known", vector_to_array("m").alias("mean"))
     zero = F.array_repeat(F.lit(0.0), dim)
@@ -123,7 +125,7 @@ pairs AS (
   SELECT a.vec_id AS qid, b.vec_id AS cid,
          round(CASE WHEN sqrt(list_dot_product(a.vec, a.vec)) * sqrt(list_dot_product(b.vec, b.vec)) = 0 THEN 0.0
               ELSE list_dot_product(a.vec, b.vec) / (sqrt(list_dot_product(a.vec, a.vec)) * sqrt(list_dot_product(b.vec, b.vec))) END, {SCORE_DIGITS}) AS score
-  FROM emb a, emb b WHERE a.vec_id <> b.vec_id
+  FROM emb a, emb b WHERE a.vec_id <> b.vec_id AND a.vec_id % {CHOSEN} = 0
 )"""
 
 
@@ -133,9 +135,9 @@ SELECT qid AS vec_id, CAST(rank AS BIGINT) AS rank, cid AS neighbour, round(scor
   SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, cid) AS rank FROM pairs) WHERE rank <= 5
 """)
 def q_similar_words(spark, sf_dir):
-    """V3: top 5 neighbours by cosine of every vector, itself excluded."""
+    """V3: top 5 neighbours by cosine among all vectors of each chosen one, itself excluded."""
     e = _emb(spark, sf_dir)
-    r = topk_similar(e, e, 5, "cosine", "vec_id", "vec", "vec_id", "vec", exclude_self=True)
+    r = topk_similar(e.filter(F.col("vec_id") % CHOSEN == 0), e, 5, "cosine", "vec_id", "vec", "vec_id", "vec", exclude_self=True)
     return r.select(F.col("qid").alias("vec_id"), F.col("rank").cast("bigint").alias("rank"),
                     F.col("cid").alias("neighbour"), F.round("score", 6).alias("score"))
 
@@ -146,9 +148,9 @@ SELECT qid AS vec_id, cid AS nearest, round(score, 6) AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, cid) AS rank FROM pairs) WHERE rank = 1
 """)
 def q_nearest_sentence(spark, sf_dir):
-    """V5: the most similar other row of every row (ties to the lowest id)."""
+    """V5: the most similar other row among all of each chosen row (ties to the lowest id)."""
     e = _emb(spark, sf_dir)
-    r = topk_similar(e, e, 1, "cosine", "vec_id", "vec", "vec_id", "vec", exclude_self=True)
+    r = topk_similar(e.filter(F.col("vec_id") % CHOSEN == 0), e, 1, "cosine", "vec_id", "vec", "vec_id", "vec", exclude_self=True)
     return r.select(F.col("qid").alias("vec_id"), F.col("cid").alias("nearest"), F.round("score", 6).alias("score"))
 
 
@@ -163,24 +165,6 @@ def analogy_queries(e: DataFrame) -> DataFrame:
     return pos.unionByName(neg)
 
 
-def analogy(queries: DataFrame, vectors: DataFrame, topn: int = 3) -> DataFrame:
-    """V4: mean of signed unit vectors, then top n by cosine with the inputs
-    excluded.  Top (n + #inputs) is taken and the
-    inputs removed, which is exact."""
-    q = queries.join(vectors.withColumnRenamed("vec_id", "word"), "word")
-    q = q.select("query", "word", "sign", "vec", VX.norm("vec").alias("nrm"))
-    q = q.select("query", "word", F.transform(
-        "vec", lambda x: F.when(F.col("nrm") == 0, F.lit(0.0)).otherwise(x / F.col("nrm") * F.col("sign"))).alias("u"))
-    mean = (q.groupBy("query").agg(Summarizer.mean(array_to_vector("u")).alias("m"),
-                                   F.count(F.lit(1)).alias("n_in"))
-            .select("query", vector_to_array("m").alias("vec"), "n_in"))
-    max_in = queries.groupBy("query").count().select(F.max("count")).first()[0]
-    r = topk_similar(mean, vectors, topn + int(max_in or 0), "cosine", "query", "vec", "vec_id", "vec")
-    r = r.join(queries.select(F.col("query").alias("qid"), F.col("word").alias("cid")), ["qid", "cid"], "left_anti")
-    w = Window.partitionBy("qid").orderBy(F.desc("score"), F.asc("cid"))
-    return r.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= topn)
-
-
 @query("analogy", f"""
 WITH {SQL_EMB},
 firsts AS (SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS r FROM emb),
@@ -207,6 +191,42 @@ def q_analogy(spark, sf_dir):
                     F.col("cid").alias("neighbour"), F.round("score", 6).alias("score"))
 
 
+@query("replace_words_by_analogy", f"""
+WITH {SQL_DOC_SENTENCES}, {SQL_WORDVEC.replace("wv AS (SELECT word, vec FROM", "wv AS (SELECT word, vec, r FROM")},
+unit AS (SELECT word, r, vec, list_transform(vec, lambda x: x / sqrt(list_dot_product(vec, vec))) AS u FROM wv),
+asked AS (
+  SELECT a.r AS pos, a.word, b.word AS positive, c.word AS negative,
+         list_transform(list_zip(a.u, b.u, c.u), lambda z: (z[1] + z[2] - z[3]) / 3) AS m
+  FROM unit a JOIN unit b ON b.r = a.r + 1 JOIN unit c ON c.r = a.r + 2
+),
+rep AS (
+  SELECT pos, word, other AS new FROM (
+    SELECT pos, a.word, w.word AS other,
+           round(list_dot_product(m, w.vec) / (sqrt(list_dot_product(m, m)) * sqrt(list_dot_product(w.vec, w.vec))), {SCORE_DIGITS}) AS score
+    FROM asked a, wv w WHERE w.word <> a.word AND w.word <> positive AND w.word <> negative)
+  QUALIFY row_number() OVER (PARTITION BY pos ORDER BY score DESC, other) = 1
+),
+sents AS (SELECT concat_ws('-', doc_id, para_no, sent_no) AS sid, sentence_text FROM sentences),
+found AS (
+  SELECT sid, list(struct_pack(w := word, n := new) ORDER BY pos) AS l FROM sents JOIN rep ON contains(sentence_text, word) GROUP BY sid
+)
+SELECT sid, coalesce(list_reduce(list_prepend(struct_pack(w := sentence_text, n := ''), l),
+                                 lambda done, x: struct_pack(w := replace(done.w, x.w, x.n), n := '')).w, sentence_text) AS replaced,
+       coalesce(array_to_string(list_transform(l, lambda x: '(' || x.w || ':' || x.n || ')'), ', '), '') AS pairs
+FROM sents LEFT JOIN found USING (sid)
+""")
+def q_replace_words_by_analogy(spark, sf_dir):
+    """T17 fed by V4: each word with a vector, found in a sentence, gives way to the word most analogous to it and its
+    neighbour in the frequency order without the next one."""
+    v = word_vector_table(spark, sf_dir)
+    near = v.select(F.col("word").alias("positive"), (F.col("r") - 1).alias("r")).join(
+        v.select(F.col("word").alias("negative"), (F.col("r") - 2).alias("r")), "r")
+    context = v.select("word", "r").join(near, "r").select(F.col("r").alias("pos"), "word", F.array("positive").alias("positive"),
+                                                           F.array("negative").alias("negative"))
+    s = doc_sentences(spark, sf_dir).select(F.concat_ws("-", "doc_id", "para_no", "sent_no").alias("sid"), "sentence_text")
+    return replace_words(s, replacements_by_analogy(context, v.select("word", "vec")), "sentence_text").select("sid", "replaced", "pairs")
+
+
 # ------------------------------------------------------------ V6 / V7
 def pick_pair(e: DataFrame, seed=SEED) -> DataFrame:
     """V7: two distinct labels drawn (seeded), the first row of each."""
