@@ -93,6 +93,16 @@ def chi2_select(weights: DataFrame, classes: DataFrame, k: int = K_BEST, class_c
     return top.withColumn("rank", F.row_number().over(w).cast("bigint")).drop("__r9")
 
 
+def sparse_rows(weights: DataFrame, terms: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(id, terms array<int>, weights array<double>, ...)`` for every row of ``rows(id, ...)``, from the long form
+    ``weights(id, term, weight)`` and the selected ``terms(term, idx)``; a row without a selected term has empty arrays."""
+    own = (weights.join(terms.select("term", "idx"), "term").groupBy("id")
+           .agg(F.sort_array(F.collect_list(F.struct("idx", "weight"))).alias("__s")))
+    empty = F.coalesce(F.col("__s"), F.array().cast("array<struct<idx:int,weight:double>>"))
+    return rows.join(own, "id", "left").withColumn("__s", empty).select(
+        *rows.columns, F.col("__s.idx").alias("terms"), F.col("__s.weight").alias("weights"))
+
+
 def standard_scale(df: DataFrame, cols: Sequence[str], fit: DataFrame | None = None) -> DataFrame:
     """(x - mean) / population std, std 0 -> 1; statistics come from
     ``fit`` (default: ``df``) as one struct-valued scalar subquery."""

@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 
 from quire.functions import vectors as VX
 from quire.functions.keys import hash_key
+from quire.operators import features as FT
 from quire.operators import metrics as E
-from quire.operators.neighbors import SCORE_DIGITS, knn_vote, topk_similar
+from quire.operators.neighbors import SCORE_DIGITS, knn_vote, topk_similar, topk_sparse
 from quire.operators.replace import analogy, replace_words, replacements_by_analogy
 from quire.operators.ranking import bucketed_rank
-from quire.operators.sampling import stratified_folds
+from quire.operators.sampling import downsample_to_smallest, stratified_folds
 from quire.plans.common import SQL_DOC_SENTENCES, doc_sentences
+from quire.plans.q_features import SQL_TFIDF, doc_classes, tfidf_docs
 from quire.plans.registry import query
+from quire.session import written
 from quire.sources.tables import table
 
 SEED = 42
@@ -298,6 +301,53 @@ SELECT qid AS vec_id, CAST(fold AS BIGINT) AS fold, qlabel AS label, label AS pr
 """
 
 
+SQL_BALANCED = (SQL_TFIDF
+                .replace("docs AS (SELECT concat_ws('-', doc_id, para_no, sent_no) AS id, source, sentence_text FROM sentences),", f"""
+all_docs AS (SELECT concat_ws('-', doc_id, para_no, sent_no) AS id, source, sentence_text FROM sentences),
+sc AS (SELECT source, count(*) AS n FROM all_docs GROUP BY source),
+rk AS (SELECT source, CASE row_number() OVER (ORDER BY n DESC, source) WHEN 1 THEN 'first' WHEN 2 THEN 'second' ELSE 'other' END AS class FROM sc),
+seeded AS (SELECT id, source, sentence_text, class, row_number() OVER (PARTITION BY class ORDER BY md5('{SEED}-' || id)) AS r,
+                  count(*) OVER (PARTITION BY class) AS n_class FROM all_docs JOIN rk USING (source)),
+docs AS (SELECT id, source, sentence_text FROM seeded WHERE r <= (SELECT min(n_class) FROM seeded)),""")
+                .replace("""sc AS (SELECT source, count(*) AS n FROM docs GROUP BY source),
+rk AS (SELECT source, CASE row_number() OVER (ORDER BY n DESC, source) WHEN 1 THEN 'first' WHEN 2 THEN 'second'
+                      ELSE 'other' END AS class FROM sc),
+""", ""))
+
+
+@query("tfidf_knn", f"""
+WITH {SQL_BALANCED},
+x AS (SELECT id, term, weight FROM w JOIN sel USING (term)),
+norms AS (SELECT id, class, ntile(5) OVER (PARTITION BY class ORDER BY md5('{SEED}-' || id)) - 1 AS fold, coalesce(n, 0) AS n
+          FROM cls LEFT JOIN (SELECT id, sum(weight * weight) AS n FROM x GROUP BY id) USING (id)),
+dots AS (SELECT a.id AS qid, b.id AS cid, sum(a.weight * b.weight) AS d FROM x a JOIN x b USING (term) GROUP BY a.id, b.id),
+pairs AS (SELECT a.id AS qid, b.id AS cid, b.class, round(-sqrt(greatest(round(a.n + b.n - 2 * coalesce(d, 0), 12), 0)), {SCORE_DIGITS}) AS score
+          FROM norms a JOIN norms b ON a.fold <> b.fold LEFT JOIN dots ON dots.qid = a.id AND dots.cid = b.id),
+nb AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY qid ORDER BY score DESC, cid) <= 7),
+wt AS (SELECT *, CASE WHEN max(CASE WHEN score = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY qid) = 1
+                      THEN CASE WHEN score = 0 THEN 1.0 ELSE 0.0 END ELSE 1.0 / (-score) END AS v FROM nb),
+votes AS (SELECT qid, class, round(sum(v), {SCORE_DIGITS}) AS v FROM wt GROUP BY qid, class)
+SELECT n.id, CAST(fold AS BIGINT) AS fold, n.class AS label, p.class AS prediction
+FROM norms n JOIN (SELECT * FROM votes QUALIFY row_number() OVER (PARTITION BY qid ORDER BY v DESC, class) = 1) p ON p.qid = n.id
+""")
+def q_tfidf_knn(spark, sf_dir):
+    """C1 + C5 on F1-F3 after R4: out-of-fold classes of the balanced sentences, k = 7 euclidean on the 1000 selected terms,
+    1/distance vote."""
+    d = tfidf_docs(spark, sf_dir)
+    balanced = downsample_to_smallest(d.join(doc_classes(d), "id"), "class", ["id"], SEED)
+    balanced = written(balanced.select("id", "class", "sentence_text"))
+    tf = written(FT.term_frequencies(balanced, "id", "sentence_text"))
+    vocabulary = FT.tfidf_fit(balanced, "id", "sentence_text", tf=tf)
+    weights = written(FT.tfidf_transform(balanced, vocabulary, "id", "sentence_text", tf=tf))
+    terms = FT.chi2_select(weights, balanced.select("id", "class")).select("term", (F.col("rank") - 1).cast("int").alias("idx"))
+    folds = stratified_folds(balanced.select("id", "class"), "class", ["id"], 5, SEED)
+    rows = written(FT.sparse_rows(weights, terms, folds))
+    near = topk_sparse(rows, rows, 7, "euclidean")
+    p = knn_vote(near.select("qid", "cid", "score"), rows.select(F.col("id").alias("cid"), F.col("class").alias("label")), "distance", "euclidean")
+    return rows.select(F.col("id").alias("qid"), "fold", F.col("class").alias("label")).join(p, "qid").select(
+        F.col("qid").alias("id"), "fold", "label", "prediction")
+
+
 def cross_validated_knn(f: DataFrame, k: int, metric: str, weighting: str) -> DataFrame:
     """C5 with C1: out-of-fold k-NN prediction of every row in one job."""
     nb = topk_similar(f, f, k, metric, "vec_id", "vec", "vec_id", "vec", q_group="fold", c_group="fold")
