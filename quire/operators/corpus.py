@@ -158,6 +158,28 @@ def build_corpus(paragraphs: DataFrame, script: str = T.HEBREW_BLOCK, mode: str
             .drop("__t", "__spk", "__own", "__body", "text", "sentence"))
 
 
+def build_records(paragraphs: DataFrame, script: str = T.HEBREW_BLOCK, mode: str = "colon", min_tokens: int = MIN_TOKENS,
+                  unknown: str = "Unknown Speaker", keywords: list[str] | None = None,
+                  protocol_number: Column | None = None) -> DataFrame:
+    """T11 whole: paragraphs ``(file_name, para_no, text)`` of files (S3) to sentence records.
+
+    One row per kept sentence: protocol_name, knesset_number and protocol_type
+    from the file name (P12), protocol_number from the first paragraph that
+    holds one (T9), speaker_name (T6-T8), sentence_text (T1-T3), and para_no,
+    sent_no, n_tokens.  ``protocol_number`` is the number of one paragraph,
+    by default by the Hebrew patterns.  Paragraphs without a text (a file that
+    could not be read) give nothing.  The numbers are one row per file, found
+    by a partial minimum; the paragraphs themselves meet only the speaker scan.
+    """
+    named = paragraphs.select(F.col("file_name").alias("doc_id"), "para_no", "text").filter(F.col("text").isNotNull())
+    numbers = first_protocol_number(named.select("doc_id", "para_no", (
+        paragraph_protocol_number("text") if protocol_number is None else protocol_number).alias("pnum")))
+    rows = build_corpus(named, script, mode, min_tokens, unknown, keywords).join(numbers, "doc_id")
+    return rows.select(F.col("doc_id").alias("protocol_name"), T.file_knesset_number("doc_id").cast("bigint").alias("knesset_number"),
+                       T.file_protocol_type("doc_id").alias("protocol_type"), "protocol_number", "speaker_name", "sentence_text",
+                       "para_no", "sent_no", "n_tokens")
+
+
 def corpus_token_count(corpus: DataFrame) -> DataFrame:
     """Total kept tokens."""
     return corpus.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).cast("bigint").alias("tokens_count"))

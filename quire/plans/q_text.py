@@ -7,6 +7,8 @@ turns, ``labels`` joined to ``documents`` for labelled reviews.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,8 @@ from quire.operators.replace import replace_words
 from quire.plans.common import (LATIN, SQL_DOC_SENTENCES, SQL_SENTENCE_RE, SQL_TOKEN_RE,
                                 doc_sentences, sql_strip)
 from quire.plans.registry import query
+from quire.session import ensure_checkpoint_dir
+from quire.sources.files import CORPUS_FIELDS, read_corpus_jsonl, write_corpus_jsonl
 from quire.sources.tables import table
 
 SEED = 42
@@ -278,6 +282,57 @@ def q_corpus_token_count(spark, sf_dir):
     return C.corpus_token_count(corpus_from_conversations(spark, sf_dir))
 
 
+def _protocol_paragraphs(spark, sf_dir) -> DataFrame:
+    """Conversations as protocol files: names with varying numbers and types, a heading (a number, a number in words, words
+    that are no number, or none), the turns, and a closing line with another number."""
+    c = table(spark, sf_dir, "conversations", spread=True).select("conv_id", "turn", "role", "text")
+    kind = F.when(F.col("conv_id") % 3 == 0, "_ptm_").when(F.col("conv_id") % 3 == 1, "_ptv_").otherwise("_x_")
+    name = F.concat((F.col("conv_id") % 25).cast("string"), kind, F.col("conv_id").cast("string"), F.lit(".docx"))
+    turns = c.select(name.alias("file_name"), (F.col("turn") + 1).cast("int").alias("para_no"),
+                     F.when(F.col("turn") % 3 == 0, F.concat("role", F.lit(": "), "text")).otherwise(F.col("text")).alias("text"))
+    heading = (F.when(F.col("conv_id") % 4 == 0, F.concat(F.lit("פרוטוקול מס' "), (F.col("conv_id") * 3).cast("string")))
+               .when(F.col("conv_id") % 4 == 1, "הישיבה עשרים").when(F.col("conv_id") % 4 == 2, "הישיבה של היום").otherwise(""))
+    edges = F.array(F.struct(F.lit(0).alias("para_no"), heading.alias("text")), F.struct(F.lit(100000).alias("para_no"), F.lit("פרוטוקול מס' 999").alias("text")))
+    files = c.select("conv_id").distinct().select(name.alias("file_name"), F.explode(edges).alias("e")).select("file_name", "e.para_no", "e.text")
+    return turns.unionByName(files)
+
+
+SQL_RECORDS = f"""
+named AS (
+  SELECT *, (conv_id % 25) || CASE conv_id % 3 WHEN 0 THEN '_ptm_' WHEN 1 THEN '_ptv_' ELSE '_x_' END || conv_id || '.docx' AS file_name
+  FROM conversations
+),
+paras AS (
+  SELECT file_name, turn + 1 AS para_no, CASE WHEN turn % 3 = 0 THEN role || ': ' || text ELSE text END AS text FROM named
+  UNION ALL SELECT file_name, 0, CASE conv_id % 4 WHEN 0 THEN 'פרוטוקול מס'' ' || conv_id * 3 WHEN 1 THEN 'הישיבה עשרים' WHEN 2 THEN 'הישיבה של היום' ELSE '' END
+  FROM (SELECT DISTINCT file_name, conv_id FROM named)
+  UNION ALL SELECT DISTINCT file_name, 100000, 'פרוטוקול מס'' 999' FROM named
+),
+numbered AS (
+  SELECT file_name, para_no, CASE WHEN regexp_matches(text, 'פרוטוקול מס''? (\\d+)') THEN CAST(regexp_extract(text, 'פרוטוקול מס''? (\\d+)', 1) AS BIGINT)
+         WHEN regexp_extract(text, 'הישיבה\\s([\\x{{0590}}-\\x{{05FF}}\\-]+)', 1) <> ''
+         THEN CASE regexp_extract(text, 'הישיבה\\s([\\x{{0590}}-\\x{{05FF}}\\-]+)', 1) WHEN 'עשרים' THEN 20 ELSE 0 END END AS v FROM paras
+),
+numbers AS (SELECT file_name, coalesce(nullif(arg_min(v, para_no), 0), -1) AS protocol_number FROM numbered GROUP BY file_name),
+{SQL_CORPUS.replace(SQL_CONV3[:SQL_CONV3.index("own AS (")], f"conv3 AS (SELECT file_name, para_no, {sql_strip('text')} AS t FROM paras)," + chr(10))
+ .replace("conv_id", "file_name").replace("turn", "para_no")}"""
+
+
+@query("corpus_records", f"""
+WITH {SQL_RECORDS}
+SELECT file_name AS protocol_name, CASE WHEN regexp_matches(file_name, '\\d+_pt') THEN CAST(regexp_extract(file_name, '(\\d+)_pt', 1) AS BIGINT) ELSE -1 END AS knesset_number,
+       CASE WHEN contains(file_name, 'ptm') THEN 'plenary' WHEN contains(file_name, 'ptv') THEN 'committee' ELSE 'undefined' END AS protocol_type,
+       CAST(protocol_number AS BIGINT) AS protocol_number, speaker_name, sentence_text
+FROM corpus JOIN numbers USING (file_name)
+""")
+def q_corpus_records(spark, sf_dir):
+    """T11 with P12, T9, S2 and S1: protocol files to six-field records, written as JSON lines and read again."""
+    records = C.build_records(_protocol_paragraphs(spark, sf_dir), LATIN)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/records-{uuid.uuid4().hex}"
+    write_corpus_jsonl(records.select(*CORPUS_FIELDS), path)
+    return read_corpus_jsonl(spark, path)
+
+
 # ------------------------------------------------------------- T9 / T10
 @query("first_protocol_number", f"""
 WITH {SQL_LINES},

@@ -12,6 +12,7 @@ import warnings
 import zipfile
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator, Mapping, Sequence
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,12 +68,16 @@ def write_corpus_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> Non
 DOCX_SCHEMA = "file_name string, para_no int, text string, error string"
 
 
-def _docx_paragraphs(content: bytes) -> list[str]:
+#: paragraphs handed on at a time
+FRAME_PARAGRAPHS = 1000
+
+
+def _docx_paragraphs(content: bytes) -> Iterator[str]:
     """Text of the paragraphs that stand in the body itself: those of tables
-    and text boxes are left out.  Tabs and line breaks of a run are kept."""
+    and text boxes are left out.  Tabs and line breaks of a run are kept.  The
+    document is read as a stream; a finished part of the body is forgotten."""
     ns = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
-    with zipfile.ZipFile(io.BytesIO(content)) as z:
-        body = ET.fromstring(z.read("word/document.xml")).find(f"{ns}body")
+    runs = (f"{ns}r", f"{ns}hyperlink/{ns}r")
 
     def piece(node) -> str:
         if node.tag == f"{ns}t":
@@ -81,23 +86,34 @@ def _docx_paragraphs(content: bytes) -> list[str]:
             return "\n" if node.get(f"{ns}type", "textWrapping") == "textWrapping" else ""
         return {f"{ns}tab": "\t", f"{ns}cr": "\n", f"{ns}noBreakHyphen": "-"}.get(node.tag, "")
 
-    runs = (f"{ns}r", f"{ns}hyperlink/{ns}r")
-    paras = []
-    for p in body.findall(f"{ns}p") if body is not None else []:
-        inside = {r for path in runs for r in p.findall(path)}
-        paras.append("".join(piece(node) for r in p.iter(f"{ns}r") if r in inside for node in r))
-    return paras
+    with zipfile.ZipFile(io.BytesIO(content)) as z, z.open("word/document.xml") as xml:
+        open_: list[ET.Element] = []
+        for event, node in ET.iterparse(xml, events=("start", "end")):
+            if event == "start":
+                open_.append(node)
+                continue
+            open_.pop()
+            if len(open_) == 2 and open_[1].tag == f"{ns}body":
+                if node.tag == f"{ns}p":
+                    inside = {r for path in runs for r in node.findall(path)}
+                    yield "".join(piece(x) for r in node.iter(f"{ns}r") if r in inside for x in r)
+                open_[1].remove(node)
 
 
 def _unpack_docx(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ["file_name", "para_no", "text", "error"]
     for b in batches:
-        for path, content in zip(b["path"], b["content"]):       # one frame per file bounds the memory
+        for path, content in zip(b["path"], b["content"]):
             name = path.rstrip("/").rsplit("/", 1)[-1]
             try:
-                rows = [(name, i, t, None) for i, t in enumerate(_docx_paragraphs(bytes(content)))]
+                for _ in _docx_paragraphs(bytes(content)):       # a file with a fault anywhere has no paragraphs
+                    pass
             except Exception as e:  # noqa: BLE001 - a bad file is reported, not fatal
-                rows = [(name, -1, None, f"{type(e).__name__}: {e}")]
-            yield pd.DataFrame(rows, columns=["file_name", "para_no", "text", "error"])
+                yield pd.DataFrame([(name, -1, None, f"{type(e).__name__}: {e}")], columns=columns)
+                continue
+            rows = ((name, i, t, None) for i, t in enumerate(_docx_paragraphs(bytes(content))))
+            while frame := list(islice(rows, FRAME_PARAGRAPHS)):
+                yield pd.DataFrame(frame, columns=columns)
 
 
 def read_document_folder(spark: SparkSession, folder: str) -> DataFrame:
