@@ -139,7 +139,7 @@ def test_save_load_and_vectors(spark, tmpdir_path):
 def test_files_to_records(spark, tmpdir_path):
     from quire.operators.corpus import build_records
     make_docx(os.path.join(tmpdir_path, "25_ptm_1.docx"), [
-        "כותרת", "הישיבה העשרים-ושלוש", "פרוטוקול מס' 8", "זה נאמר לפני הדובר הראשון כאן.", "דוד כהן: שלום לכם חברים יקרים! עוד משפט אחד ארוך כאן. קצר.",
+        "כותרת", "הישיבה העשרים-וארבע", "פרוטוקול מס' 8", "זה נאמר לפני הדובר הראשון כאן.", "דוד כהן: שלום לכם חברים יקרים! עוד משפט אחד ארוך כאן. קצר.",
         "והנה המשך דבריו של אותו דובר.", "", "רות לוי (סיעה): תודה רבה לך אדוני היושב."])
     make_docx(os.path.join(tmpdir_path, "7_ptv_2.docx"), ["יושב ראש: אין כאן מספר של פרוטוקול כלל."])
     make_docx(os.path.join(tmpdir_path, "other.docx"), ["פרוטוקול מס 31", "דוד כהן: משפט שלם עם מספיק מילים."] + ["עוד פסקה אחת של אותו דובר."] * 2500)
@@ -151,7 +151,7 @@ def test_files_to_records(spark, tmpdir_path):
     got = [tuple(r) for r in S.read_corpus_jsonl(spark, path).collect()]
     assert sorted(got) == sorted([tuple(r) for r in records.select(*S.CORPUS_FIELDS).collect()])
     short = sorted(r for r in got if r[0] != "other.docx")
-    assert [(r[:5]) for r in short] == [("25_ptm_1.docx", 25, "plenary", 23, "דוד כהן")] * 3 + [("25_ptm_1.docx", 25, "plenary", 23, "רות לוי"),
+    assert [(r[:5]) for r in short] == [("25_ptm_1.docx", 25, "plenary", 24, "דוד כהן")] * 3 + [("25_ptm_1.docx", 25, "plenary", 24, "רות לוי"),
                                                                                                ("7_ptv_2.docx", 7, "committee", -1, "יושב ראש")]
     assert "שלום לכם חברים יקרים !" in {r[5] for r in short} and not any("לפני" in r[5] for r in short)
     long = [r for r in got if r[0] == "other.docx"]
