@@ -339,9 +339,13 @@ def main_texts(model: Labeller, pages: list[str | None]) -> list[str]:
 
 
 def extract_text(pages: DataFrame, html_col: str = "html", model: Labeller | None = None) -> DataFrame:
-    """``pages`` without the HTML column, with text and n_chars (code points); a map over the rows."""
+    """``pages`` without the HTML column, with text and n_chars (code points); a map over the rows.
+
+    Columns of ``pages`` named ``text`` or ``n_chars`` are replaced.  A null or
+    empty page, or one without content, has the empty text; repeated rows stay.
+    """
     sent = share(pages.sparkSession, model or labeller())
-    kept = [c for c in pages.columns if c != html_col]
+    kept = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
     rows = pages.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{html_col}`").cast("string").alias("_html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

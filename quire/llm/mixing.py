@@ -91,11 +91,12 @@ def _quotas(sized: DataFrame) -> DataFrame:
     return materialise(out.select(F.col("_m_source").alias("q_source"), "source_size", "target", "epochs", "edge", "cut"), "quotas")
 
 
-def _copies() -> Column:
+def _copies(prefix: str = "") -> Column:
     """How often a document is taken, from its key and its source's row."""
-    at_edge = (F.col("_m_bucket") == F.col("edge")) & (F.struct("_m_key", "_m_id") <= F.col("cut"))
-    chosen = F.coalesce((F.col("_m_bucket") < F.col("edge")) | at_edge, F.lit(False))
-    return F.col("epochs") + chosen.cast("int")
+    edge = F.col(f"{prefix}edge")
+    at_edge = (F.col("_m_bucket") == edge) & (F.struct("_m_key", "_m_id") <= F.col(f"{prefix}cut"))
+    chosen = F.coalesce((F.col("_m_bucket") < edge) | at_edge, F.lit(False))
+    return F.col(f"{prefix}epochs") + chosen.cast("int")
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -112,8 +113,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``docs`` in the mix: each document as many times as it is taken, all columns as they are."""
+    """``docs`` in the mix: each document as many times as it is taken, all columns as they are, whatever their names."""
     quotas = _quotas(_sized(docs, id_col, text_col, source_col))
+    quotas = quotas.toDF(*[f"_m_of_{c}" for c in quotas.columns])
     rows = docs.select("*", *(c.alias(n) for n, c in _measured(docs, id_col, text_col, source_col).items()))
-    rows = rows.join(quotas, F.col("_m_source").eqNullSafe(F.col("q_source"))).withColumn("_m_copies", _copies()).where("_m_copies > 0")
+    rows = rows.join(quotas, F.col("_m_source").eqNullSafe(F.col("_m_of_q_source")))
+    rows = rows.withColumn("_m_copies", _copies("_m_of_")).where("_m_copies > 0")
     return rows.withColumn("_m_copy", F.explode(F.sequence(F.lit(1), F.col("_m_copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -380,7 +380,11 @@ def _joined_score(docs: DataFrame, model: ToxicityModel, text_col: str, column:
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", column: str = "score") -> DataFrame:
-    """``docs`` with a score from 0 to 1 (higher: toxic is likelier); a map over the rows, or joins if the model is in tables."""
+    """``docs`` with a score from 0 to 1 (higher: toxic is likelier); a map over the rows, or joins if the model is in tables.
+
+    A column of ``docs`` that is named like the score is replaced.
+    """
+    docs = docs.drop(column)
     if model.tables:
         return _joined_score(docs, model, text_col, column)
     sent = share(docs.sparkSession, model)
