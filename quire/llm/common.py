@@ -90,6 +90,17 @@ def discard(value: Broadcast) -> None:
     value.destroy()
 
 
+#: bytes of rows that go to a Python worker at a time (Spark's own default, 64 MB, is held several times over on both sides)
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches, unless the session has set a size of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def give_back() -> None:
     """Memory that earlier tasks of this Python worker have freed goes back to the system (Spark keeps its workers)."""
     gc.collect()

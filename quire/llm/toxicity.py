@@ -52,8 +52,8 @@ SHORT_BYTES = 200
 BROADCAST_LABELS = 2_000_000
 #: folds of crc32(id) mod 5: 0 is held out, 1 fits the curve, the rest is counted
 HELD_OUT, CURVE = 0, 1
-SCORE_BYTES = 2 << 20
-CACHED_WORDS = 1 << 20
+SCORE_BYTES = 1 << 20
+CACHED_WORDS = 1 << 18
 _BINS = 10000.0
 _LEN = 56
 
