@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm.common import materialise, read_table, release
+from quire.llm.common import bound_batches, materialise, read_table, release
 from quire.llm.decontaminate import drop_contaminated
 from quire.llm.minhash_dedup import drop_near_duplicates
 from quire.llm.mixing import take_mix
@@ -18,6 +18,7 @@ def _stage(name: str, apply: Callable[[SparkSession, DataFrame, str], DataFrame]
     """The stage ``name``; what earlier stages have broadcast is freed first, since their rows are written by then."""
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         release()
+        bound_batches(spark)
         return apply(spark, docs, sf_dir)
     return name, run
 
