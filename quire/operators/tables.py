@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.operators.ranking import range_rank
+
 
 def clean_and_map_label(col: str, mapping: dict[str, int]) -> Column:
     """Cast to string, strip, delete '.', map listed strings, others null."""
@@ -38,8 +40,7 @@ def rank_labels(counts: DataFrame, count_col: str, name_col: str, first_rank: in
     """Rank names by count (desc, then name) and label ranks
     ``first_rank``, ``first_rank + 1``; the rest are ``other``.  The input has
     one row per name (already aggregated)."""
-    r = counts.withColumn("rank", F.row_number().over(
-        Window.orderBy(F.desc(count_col), F.asc(name_col))).cast("bigint"))
+    r = range_rank(counts, [F.col(count_col).desc(), F.col(name_col).asc()])
     lab = F.lit(other)
     for i, name in reversed(list(enumerate(labels))):
         lab = F.when(F.col("rank") == first_rank + i, F.lit(name)).otherwise(lab)

@@ -15,7 +15,7 @@ from quire.operators import features as FT
 from quire.operators import metrics as E
 from quire.operators.neighbors import SCORE_DIGITS, knn_vote, topk_similar, topk_sparse
 from quire.operators.replace import analogy, replace_words, replacements_by_analogy
-from quire.operators.ranking import bucketed_rank
+from quire.operators.ranking import range_rank
 from quire.operators.sampling import downsample_to_smallest, stratified_folds
 from quire.plans.common import SQL_DOC_SENTENCES, doc_sentences
 from quire.plans.q_features import SQL_TFIDF, doc_classes, tfidf_docs
@@ -68,13 +68,8 @@ def word_vector_table(spark, sf_dir) -> DataFrame:
     i-th embedding (by vec_id)."""
     s = doc_sentences(spark, sf_dir)
     wc = s.select(F.explode("tokens").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
-    # rank by (cnt desc, word): the sort key is a composite string and the
-    # bucket a descending log2 band of the count (monotone in that order)
-    wr = bucketed_rank(wc.withColumn("k", F.concat(F.lpad((F.lit(10 ** 15) - F.col("cnt")).cast("string"), 16, "0"),
-                                                   F.lit(" "), F.col("word"))),
-                       "k", bucket=(F.lit(64) - F.floor(F.log2("cnt"))).cast("int"), rank_col="r")
-    er = bucketed_rank(_emb(spark, sf_dir), "vec_id", bucket=F.floor(F.col("vec_id") / 1024).cast("int"),
-                       rank_col="r")
+    wr = range_rank(wc, [F.col("cnt").desc(), F.col("word").asc()], rank_col="r")
+    er = range_rank(_emb(spark, sf_dir), [F.col("vec_id").asc()], rank_col="r")
     return wr.join(er, "r").select("word", "vec", "r")
 
 

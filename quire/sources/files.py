@@ -184,13 +184,18 @@ def report_lines(df: DataFrame, section_cols: Sequence[str], line_col: str, orde
 
 def write_report(df: DataFrame, path: str, section_cols: Sequence[str], line_col: str, order_cols: Sequence[str],
                  titles: Mapping[str, Mapping] | None = None) -> None:
-    """Sectioned text report, one file."""
+    """Sectioned text report; its parts, in the order of their names, are the report.
+
+    The lines are cut into even ranges of the report's order by Spark's range
+    partitioner, a section's header being its first line, so a header may end one
+    part and its lines begin the next; no task sorts or writes the whole.
+    """
     r = report_lines(df, section_cols, line_col, order_cols, titles)
     sort = []
     for c in section_cols:
         sort += [F.col(c).asc_nulls_first()]
     sort += [F.col("__kind")] + [F.col(o).asc_nulls_first() for o in order_cols]
-    r.orderBy(*sort).select("line").coalesce(1).write.mode("overwrite").text(path)
+    r.orderBy(*sort).select("line").write.mode("overwrite").text(path)
 
 
 # ------------------------------------------------------------------ S8
