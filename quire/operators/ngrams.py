@@ -53,7 +53,7 @@ def ngrams_of(padded, n: int) -> Column:
 
 def check_order(n: int) -> None:
     if n not in (1, 2, 3):
-        raise ValueError("Invalid ngram type")
+        raise ValueError(f"n-grams of order {n!r} are not counted, only 1, 2 and 3")
 
 
 # --------------------------------------------------------------------------
@@ -320,7 +320,7 @@ def collocations(sentences: DataFrame, sizes: Sequence[int] = (2,), k: int = 10,
     per group before the final shuffle (window group limit).
     """
     if metric not in ("frequency", "tfidf"):
-        raise ValueError("wrong metric used")
+        raise ValueError(f"metric {metric!r} is neither 'frequency' nor 'tfidf'")
     if metric == "frequency":
         s = sentences.select(F.col(corpus_col).alias("corpus"), F.col(tokens_col).alias("t"))
         x = _interior_grams(s, "t", sizes, ["corpus"])
