@@ -78,8 +78,8 @@ WITH {SQL_XY}
 SELECT x.i AS i, y.i AS j, round(sum(x.v * y.v), 6) AS v FROM x JOIN y ON x.j = y.j GROUP BY x.i, y.i
 """)
 def q_matrix_multiply(spark, sf_dir):
-    """M5: X . Y^T."""
-    return _r(M.multiply_transposed(mat_x(spark, sf_dir), mat_y(spark, sf_dir)), "v")
+    """M5: X . Y^T in blocks of 16 x 16 (4 x 4 x 3 meetings)."""
+    return _r(M.multiply_transposed(mat_x(spark, sf_dir), mat_y(spark, sf_dir), block=16), "v")
 
 
 @query("matrix_concat", f"""
@@ -98,14 +98,21 @@ def q_matrix_concat(spark, sf_dir):
 
 
 @query("matrix_equal", f"""
-WITH {SQL_XY}
-SELECT coalesce(x.i, y.i) AS i, coalesce(x.j, y.j) AS j,
+WITH {SQL_XY},
+p AS (SELECT l_orderkey % 50 AS i, l_partkey % 40 AS j, sum(CASE WHEN l_quantity > 2 THEN l_quantity ELSE 0 END) AS v
+      FROM lineitem GROUP BY ALL)
+SELECT 'x_y' AS pair, coalesce(x.i, y.i) AS i, coalesce(x.j, y.j) AS j,
        CAST(coalesce(x.v, 0) = coalesce(y.v, 0) AS INTEGER) AS eq
 FROM x FULL OUTER JOIN y ON x.i = y.i AND x.j = y.j
+UNION ALL SELECT 'x_part', x.i, x.j, CAST(x.v = coalesce(p.v, 0) AS INTEGER) FROM x LEFT JOIN p USING (i, j)
 """)
 def q_matrix_equal(spark, sf_dir):
-    """M7: 1 where X and Y agree."""
-    return M.equal(mat_x(spark, sf_dir), mat_y(spark, sf_dir))
+    """M7: 1 where X and Y agree, and where X agrees with itself without the quantities of 1 and 2."""
+    x = mat_x(spark, sf_dir)
+    part = (table(spark, sf_dir, "lineitem").groupBy((F.col("l_orderkey") % 50).alias("i"), (F.col("l_partkey") % 40).alias("j"))
+            .agg(F.sum(F.when(F.col("l_quantity") > 2, F.col("l_quantity")).otherwise(0)).alias("v")))
+    pairs = [M.equal(x, m).select(F.lit(name).alias("pair"), "i", "j", "eq") for name, m in (("x_y", mat_y(spark, sf_dir)), ("x_part", part))]
+    return pairs[0].unionByName(pairs[1])
 
 
 @query("matrix_sum", f"WITH {SQL_XY} SELECT round(sum(v), 6) AS total FROM x")
