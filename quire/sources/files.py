@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions.text import file_knesset_number, file_protocol_type
+from quire.sources.quoted_csv import read_quoted_csv
 
 # --- fixed values that must equal the reference ---------------------------
 CORPUS_FIELDS = ["protocol_name", "knesset_number", "protocol_type", "protocol_number",
@@ -139,10 +140,17 @@ def read_headerless_csv(spark: SparkSession, path: str, names: Sequence[str] = C
     return spark.read.schema(schema).option("header", "false").option("ignoreLeadingWhiteSpace", "false").csv(path)
 
 
-def read_header_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """CSV with header; quoted fields may hold newlines."""
-    df = (spark.read.option("header", "true").option("multiLine", "true").option("escape", '"')
-          .csv(path))
+def read_header_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+                    splittable: bool = True) -> DataFrame:
+    """CSV with header; quoted fields may hold newlines.
+
+    Files are read in splits (:func:`quire.sources.quoted_csv.read_quoted_csv`); ``splittable=False``
+    reads each by one task, for files with stray quotes inside unquoted fields."""
+    if splittable:
+        df = read_quoted_csv(spark, path)
+    else:
+        df = (spark.read.option("header", "true").option("multiLine", "true").option("escape", '"')
+              .csv(path))
     return df.select(*columns) if columns else df
 
 
