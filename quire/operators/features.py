@@ -3,16 +3,17 @@ one-hot dummies, column alignment, standard scaling, vector rescaling.
 
 TF-IDF is kept in long form ``(id, term, weight)``; the vocabulary is bounded
 by ``max_features`` (so it may be broadcast), and everything else is joins
-and aggregates.  Per-row normalisation reuses the partitioning of the
-term-count aggregation (the exploded terms are hash-partitioned by row id
-once, and both the ``(id, term)`` count and the per-row norm window run on
-that partitioning).
+and aggregates.  Terms are counted inside their row, without a shuffle: the
+document frequencies combine on the map side, and only the terms that the
+vocabulary keeps are shuffled, by row id, for the row's norm.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,19 +23,29 @@ MIN_DF, MAX_DF, MAX_FEATURES, K_BEST = 2, 0.4, 5000, 1000
 # ---------------------------------------------------------------------------
 
 
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        terms = batch.column("terms")
+        t = pa.table({"row": pc.list_parent_indices(terms), "term": pc.list_flatten(terms)})
+        n = t.group_by(["row", "term"], use_threads=False).aggregate([([], "count_all")])
+        out = pa.table([batch.column("id").take(n["row"].combine_chunks()), n["term"], n["count_all"]], names=["id", "term", "tf"])
+        yield from out.to_batches(max_chunksize=1 << 16)
+
+
 def term_frequencies(docs: DataFrame, id_col: str, text_col: str, ngram_max: int = 2) -> DataFrame:
-    """(id, term, tf) of lower-cased word 1..ngram_max-grams.
+    """(id, term, tf) of lower-cased word 1..ngram_max-grams; ids are unique.
 
-    Word n-grams come from Spark ML's ``NGram`` (compiled per-row code);
-    the exploded terms are hash-partitioned by row id once, which both the
-    (id, term) count and any later per-row window reuse."""
+    Word n-grams come from Spark ML's ``NGram`` (compiled per-row code), and
+    are counted within each row by Arrow, so nothing is shuffled.  A null text
+    or one without a word has no terms."""
     from pyspark.ml.feature import NGram
-    d = docs.select(F.col(id_col).alias("id"),
-                    F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_RE), 0).alias("__t1"))
+    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(TOKEN_RE), 0)
+    d = docs.select(F.col(id_col).alias("id"), words.alias("__t1"))
     for n in range(2, ngram_max + 1):
         d = NGram(n=n, inputCol="__t1", outputCol=f"__t{n}").transform(d)
-    t = d.select("id", F.explode(F.concat(*[F.col(f"__t{n}") for n in range(1, ngram_max + 1)])).alias("term"))
-    return t.repartition("id").groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    t = d.select("id", F.concat(*[F.col(f"__t{n}") for n in range(1, ngram_max + 1)]).alias("terms"))
+    id_type = t.schema["id"].dataType.simpleString()
+    return t.mapInArrow(_count_terms, f"id {id_type}, term string, tf bigint")
 
 
 def tfidf_fit(docs: DataFrame, id_col: str, text_col: str, min_df: int = MIN_DF, max_df: float = MAX_DF,
@@ -59,7 +70,7 @@ def tfidf_transform(docs: DataFrame, vocab: DataFrame, id_col: str, text_col: st
     """``(id, term, weight)`` = (1 + ln tf) * idf, L2-normalised per
     row over the vocabulary terms; terms outside the vocabulary are dropped.
     The vocabulary is bounded by ``max_features``, so it is broadcast; the
-    norm window runs on the tf partitioning (no extra shuffle)."""
+    norm window shuffles the kept terms only."""
     tf = term_frequencies(docs, id_col, text_col, ngram_max) if tf is None else tf
     w = tf.join(F.broadcast(vocab.select("term", "idf")), "term")
     w = w.withColumn("w", (1 + F.log("tf")) * F.col("idf"))

@@ -13,22 +13,22 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.operators import features as FT
-from quire.operators.sampling import random_split
+from quire.operators.sampling import downsample_to_smallest, random_split, stratified_folds
 from quire.operators.tables import label_encode, rank_labels
 from quire.plans.common import SQL_DOC_SENTENCES, doc_sentences
 from quire.plans.registry import query
-from quire.session import cut_lineage
+from quire.session import written
 from quire.sources.tables import table
 
 SEED = 42
 
 
 def tfidf_docs(spark, sf_dir) -> DataFrame:
-    """Tokenised sentences, materialised once in the shared checkpoint folder:
+    """Tokenised sentences, written once in the shared checkpoint folder:
     the TF-IDF / chi-square plans read them four times (terms, row count,
     class ranks, class shares), and the regex work should run once."""
     s = doc_sentences(spark, sf_dir)
-    return cut_lineage(s.select(F.concat_ws("-", "doc_id", "para_no", "sent_no").alias("id"), "source", "lang",
+    return written(s.select(F.concat_ws("-", "doc_id", "para_no", "sent_no").alias("id"), "source", "lang",
                     "doc_id", "para_no", "sentence_text"))
 
 
@@ -70,6 +70,21 @@ sel AS (SELECT term, chi2, CAST(row_number() OVER (ORDER BY round(chi2, 9) DESC,
         QUALIFY rank <= {FT.K_BEST})"""
 
 
+def balanced_tfidf(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """F1-F3 on the sentences of the R4-balanced classes: (rows, vocabulary, terms), the rows with class, one of five
+    stratified folds and their selected terms as sparse arrays; rows and terms are written."""
+    d = tfidf_docs(spark, sf_dir)
+    balanced = downsample_to_smallest(d.join(doc_classes(d), "id"), "class", ["id"], SEED)
+    balanced = written(balanced.select("id", "class", "sentence_text"))
+    tf = written(FT.term_frequencies(balanced, "id", "sentence_text"))
+    vocabulary = written(FT.tfidf_fit(balanced, "id", "sentence_text", tf=tf))
+    weights = written(FT.tfidf_transform(balanced, vocabulary, "id", "sentence_text", tf=tf))
+    top = FT.chi2_select(weights, balanced.select("id", "class"))
+    terms = written(top.select("term", (F.col("rank") - 1).cast("int").alias("idx")))
+    folds = stratified_folds(balanced.select("id", "class"), "class", ["id"], 5, SEED)
+    return written(FT.sparse_rows(weights, terms, folds)), vocabulary, terms
+
+
 @query("tfidf_vocabulary", f"""
 WITH {SQL_TFIDF}
 SELECT term, df, total_cnt, round(idf, 6) AS idf FROM vocab
@@ -87,18 +102,20 @@ SELECT id, term, round(weight, 6) AS weight FROM w
 def q_tfidf_weights(spark, sf_dir):
     """sublinear TF x smoothed IDF, L2-normalised per sentence."""
     d = tfidf_docs(spark, sf_dir)
-    tf = FT.term_frequencies(d, "id", "sentence_text")
+    tf = written(FT.term_frequencies(d, "id", "sentence_text"))
     v = FT.tfidf_fit(d, "id", "sentence_text", tf=tf)
     w = FT.tfidf_transform(d, v, "id", "sentence_text", tf=tf)
     return w.select("id", "term", F.round("weight", 6).alias("weight"))
 
 
-def _selected(spark, sf_dir):
+def fitted(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """F1-F3 on all sentences: (sentences, vocabulary, weights, selected terms); the counts, the vocabulary and the
+    weights are written once for their readers."""
     d = tfidf_docs(spark, sf_dir)
-    tf = FT.term_frequencies(d, "id", "sentence_text")
-    v = FT.tfidf_fit(d, "id", "sentence_text", tf=tf)
-    w = FT.tfidf_transform(d, v, "id", "sentence_text", tf=tf)
-    return v, FT.chi2_select(w, doc_classes(d))
+    tf = written(FT.term_frequencies(d, "id", "sentence_text"))
+    v = written(FT.tfidf_fit(d, "id", "sentence_text", tf=tf))
+    w = written(FT.tfidf_transform(d, v, "id", "sentence_text", tf=tf))
+    return d, v, w, FT.chi2_select(w, doc_classes(d))
 
 
 @query("chi2_select", f"""
@@ -107,7 +124,7 @@ SELECT term, round(chi2, 6) AS chi2, rank FROM sel
 """)
 def q_chi2_select(spark, sf_dir):
     """the 1000 terms with the largest chi-square against the speaker class."""
-    _, sel = _selected(spark, sf_dir)
+    sel = fitted(spark, sf_dir)[-1]
     return sel.select("term", F.round("chi2", 6).alias("chi2"), "rank")
 
 
@@ -125,7 +142,7 @@ SELECT id AS item_id, term, round(weight, 6) AS weight FROM nw WHERE term IN (SE
 """)
 def q_tfidf_transform(spark, sf_dir):
     """fitted vocabulary, IDF and chi-square selection applied to unseen sentences."""
-    v, sel = _selected(spark, sf_dir)
+    _, v, _, sel = fitted(spark, sf_dir)
     b = table(spark, sf_dir, "benchmark").select("item_id", "text")
     w = FT.tfidf_transform(b, v, "item_id", "text")
     w = w.join(F.broadcast(sel.select("term")), "term", "left_semi")

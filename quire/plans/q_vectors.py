@@ -11,16 +11,14 @@ from pyspark.sql import functions as F
 
 from quire.functions import vectors as VX
 from quire.functions.keys import hash_key
-from quire.operators import features as FT
 from quire.operators import metrics as E
 from quire.operators.neighbors import SCORE_DIGITS, knn_vote, topk_similar, topk_sparse
 from quire.operators.replace import analogy, replace_words, replacements_by_analogy
 from quire.operators.ranking import range_rank
-from quire.operators.sampling import downsample_to_smallest, stratified_folds
+from quire.operators.sampling import stratified_folds
 from quire.plans.common import SQL_DOC_SENTENCES, doc_sentences
-from quire.plans.q_features import SQL_TFIDF, doc_classes, tfidf_docs
+from quire.plans.q_features import SQL_TFIDF, balanced_tfidf
 from quire.plans.registry import query
-from quire.session import written
 from quire.sources.tables import table
 
 SEED = 42
@@ -328,15 +326,7 @@ FROM norms n JOIN (SELECT * FROM votes QUALIFY row_number() OVER (PARTITION BY q
 def q_tfidf_knn(spark, sf_dir):
     """C1 + C5 on F1-F3 after R4: out-of-fold classes of the balanced sentences, k = 7 euclidean on the 1000 selected terms,
     1/distance vote."""
-    d = tfidf_docs(spark, sf_dir)
-    balanced = downsample_to_smallest(d.join(doc_classes(d), "id"), "class", ["id"], SEED)
-    balanced = written(balanced.select("id", "class", "sentence_text"))
-    tf = written(FT.term_frequencies(balanced, "id", "sentence_text"))
-    vocabulary = FT.tfidf_fit(balanced, "id", "sentence_text", tf=tf)
-    weights = written(FT.tfidf_transform(balanced, vocabulary, "id", "sentence_text", tf=tf))
-    terms = FT.chi2_select(weights, balanced.select("id", "class")).select("term", (F.col("rank") - 1).cast("int").alias("idx"))
-    folds = stratified_folds(balanced.select("id", "class"), "class", ["id"], 5, SEED)
-    rows = written(FT.sparse_rows(weights, terms, folds))
+    rows, _, _ = balanced_tfidf(spark, sf_dir)
     near = topk_sparse(rows, rows, 7, "euclidean")
     p = knn_vote(near.select("qid", "cid", "score"), rows.select(F.col("id").alias("cid"), F.col("class").alias("label")), "distance", "euclidean")
     return rows.select(F.col("id").alias("qid"), "fold", F.col("class").alias("label")).join(p, "qid").select(

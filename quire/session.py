@@ -12,6 +12,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -60,19 +61,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def written(df: DataFrame, schema: StructType | None = None) -> DataFrame:
+    """``df`` as Parquet in the shared checkpoint folder, read back (as ``schema``, by default its own).
 
-
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as Parquet in the shared checkpoint folder, read back.
-
-    Cuts the lineage like :func:`cut_lineage`, but later scans prune columns
-    and the planner knows the size, so it can choose joins by it.
+    Cuts the lineage and survives the loss of executors; later scans prune
+    columns, and the planner knows the size, so it can choose joins by it.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quire-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
