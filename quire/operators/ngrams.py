@@ -93,20 +93,26 @@ def totals_from_counts(counts: DataFrame) -> DataFrame:
 # scoring
 # --------------------------------------------------------------------------
 
+def smoothed(cnt, context_cnt, vocab) -> Column:
+    """The Laplace-smoothed share (cnt + 1) / (context_cnt + vocab) of one order."""
+    return (cnt + 1) / (context_cnt + vocab)
+
+
+def interpolated(p1, p2, p3) -> Column:
+    """The smoothed shares of the three orders under their fixed weights."""
+    return F.lit(LAMBDA_UNI) * _c(p1) + F.lit(LAMBDA_BI) * _c(p2) + F.lit(LAMBDA_TRI) * _c(p3)
+
+
 def _interpolate(c1, c2, d2, c3, d3, total, vocab) -> Column:
-    """N5 + N6: Laplace terms per order, linearly interpolated."""
-    p1 = (c1 + 1) / (total + vocab)
-    p2 = (c2 + 1) / (d2 + vocab)
-    p3 = (c3 + 1) / (d3 + vocab)
-    return F.lit(LAMBDA_UNI) * p1 + F.lit(LAMBDA_BI) * p2 + F.lit(LAMBDA_TRI) * p3
+    return interpolated(smoothed(c1, total, vocab), smoothed(c2, d2, vocab), smoothed(c3, d3, vocab))
 
 
 def position_probabilities(sentences: DataFrame, counts: DataFrame, totals: DataFrame,
                            id_col: str = "sid", tokens_col: str = "tokens",
                            model_col: str = "corpus") -> DataFrame:
-    """(sid, corpus, pos, token, p) for every scored position (index >= 3 of
+    """(sid, corpus, pos, token, p1, p2, p3, p) for every scored position (index >= 3 of
     the 1-based padded list) of every sentence under the model named in
-    ``model_col``.
+    ``model_col``: the N5 terms of the three orders and their N6 sum.
 
     Each padded position asks for the counts of the unigram, bigram and
     trigram ending there (three look-ups, one join against the count
@@ -129,7 +135,7 @@ def position_probabilities(sentences: DataFrame, counts: DataFrame, totals: Data
                      F.col("__g3").alias("gram")))
     r = d.select("sid", "corpus", F.explode(req).alias("r")) \
         .select("sid", "corpus", F.col("r.idx").alias("idx"), F.col("r.n").alias("n"), F.col("r.gram").alias("gram"))
-    hit = r.join(counts.hint("shuffle_hash"), on=["corpus", "n", "gram"], how="left") \
+    hit = r.join(counts, on=["corpus", "n", "gram"], how="left") \
         .withColumn("cnt", F.coalesce("cnt", F.lit(0))).repartition("sid", "corpus")
 
     def at(n: int) -> Column:
@@ -141,10 +147,11 @@ def position_probabilities(sentences: DataFrame, counts: DataFrame, totals: Data
     per = per.withColumn("d2", F.lag("c1").over(w)).withColumn("d3", F.lag("c2").over(w)) \
         .filter(F.col("idx") >= 3)
     per = per.join(F.broadcast(totals.select("corpus", "total", "vocab")), "corpus")
-    return per.select(
-        "sid", "corpus", F.col("idx").alias("pos"), "token",
-        _interpolate(F.col("c1"), F.col("c2"), F.col("d2"), F.col("c3"), F.col("d3"),
-                     F.col("total"), F.col("vocab")).alias("p"))
+    terms = per.select("sid", "corpus", F.col("idx").alias("pos"), "token",
+                       smoothed(F.col("c1"), F.col("total"), F.col("vocab")).alias("p1"),
+                       smoothed(F.col("c2"), F.col("d2"), F.col("vocab")).alias("p2"),
+                       smoothed(F.col("c3"), F.col("d3"), F.col("vocab")).alias("p3"))
+    return terms.withColumn("p", interpolated("p1", "p2", "p3"))
 
 
 def sentence_scores(sentences: DataFrame, counts: DataFrame, totals: DataFrame,

@@ -70,6 +70,9 @@ pos AS (
 ),
 pp AS (
   SELECT pos.sid, pos.corpus, pos.pos, pos.w AS token,
+         (coalesce(u.cnt, 0) + 1) / (t.total + t.vocab) AS p1,
+         (coalesce(b.cnt, 0) + 1) / (coalesce(u1.cnt, 0) + t.vocab) AS p2,
+         (coalesce(tr.cnt, 0) + 1) / (coalesce(b2.cnt, 0) + t.vocab) AS p3,
          0.99 * (coalesce(u.cnt, 0) + 1) / (t.total + t.vocab)
        + 0.003 * (coalesce(b.cnt, 0) + 1) / (coalesce(u1.cnt, 0) + t.vocab)
        + 0.007 * (coalesce(tr.cnt, 0) + 1) / (coalesce(b2.cnt, 0) + t.vocab) AS p
@@ -104,6 +107,27 @@ def q_lm_totals(spark, sf_dir):
     return N.lm_totals(s).select(F.col("corpus").alias("lang"), "total", "vocab")
 
 
+@query("smoothed_probability", f"""
+WITH {SQL_LM}, {sql_position_probs('lm_s')}
+SELECT sid, corpus AS lang, CAST(pos AS BIGINT) AS pos, token, round(p1, 9) AS p1, round(p2, 9) AS p2, round(p3, 9) AS p3 FROM pp
+""")
+def q_smoothed_probability(spark, sf_dir):
+    """The smoothed unigram, bigram and trigram probability of every token of every sentence."""
+    pp = N.position_probabilities(*lm_model(spark, sf_dir))
+    return pp.select("sid", F.col("corpus").alias("lang"), F.col("pos").cast("bigint").alias("pos"), "token",
+                     *[F.round(p, 9).alias(p) for p in ("p1", "p2", "p3")])
+
+
+@query("interpolated_probability", f"""
+WITH {SQL_LM}, {sql_position_probs('lm_s')}
+SELECT sid, corpus AS lang, CAST(pos AS BIGINT) AS pos, token, round(p, 9) AS p FROM pp
+""")
+def q_interpolated_probability(spark, sf_dir):
+    """The interpolated probability of every token of every sentence."""
+    pp = N.position_probabilities(*lm_model(spark, sf_dir))
+    return pp.select("sid", F.col("corpus").alias("lang"), F.col("pos").cast("bigint").alias("pos"), "token", F.round("p", 9).alias("p"))
+
+
 @query("sentence_log_probability", f"""
 WITH {SQL_LM}, {sql_position_probs('lm_s')}
 SELECT sid, corpus AS lang, round(sum(log2(p)), 6) AS log_prob FROM pp GROUP BY sid, corpus

@@ -72,13 +72,16 @@ def q_count_nulls(spark, sf_dir):
 
 
 @query("replace_cell_value", """
-SELECT c_custkey, CASE WHEN c_name = '?' THEN 'Unknown' ELSE c_name END AS c_name, c_nationkey, c_acctbal,
-       CASE WHEN c_mktsegment = '?' THEN 'Unknown' ELSE c_mktsegment END AS c_mktsegment
+SELECT c_custkey, c_name, c_nationkey, c_acctbal,
+       CASE WHEN c_acctbal < 0 THEN 'Unknown' WHEN c_custkey % 10 = 0 THEN c_mktsegment || '?' ELSE c_mktsegment END AS c_mktsegment
 FROM customer
 """)
 def q_replace_cell_value(spark, sf_dir):
-    """Whole-cell '?' -> 'Unknown' in every string column."""
-    c = _t(spark, sf_dir, "customer")
+    """Whole-cell '?' -> 'Unknown' in every string column (the segment of customers in debt is '?'; a longer
+    cell with a '?' in it stays)."""
+    segment = (F.when(F.col("c_acctbal") < 0, "?").when(F.col("c_custkey") % 10 == 0, F.concat("c_mktsegment", F.lit("?")))
+               .otherwise(F.col("c_mktsegment")))
+    c = _t(spark, sf_dir, "customer").withColumn("c_mktsegment", segment)
     strings = [f.name for f in c.schema.fields if f.dataType.simpleString() == "string"]
     return c.replace("?", "Unknown", subset=strings)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
@@ -566,13 +566,40 @@ def q_render_prompts(spark, sf_dir):
     return render_prompts(d).select("doc_id", "strategy", "prompt")
 
 
-@query("parse_response_label", """
-SELECT doc_id, CASE WHEN contains(lower(text), 'positive') THEN 'Positive' ELSE 'Negative' END AS label
-FROM documents
+def stand_in_answer(prompt: str) -> Column:
+    """What a stand-in for a language model says to a prompt, by the share of its letters that are an 'e'."""
+    n_e = F.length(prompt) - F.length(F.replace(F.col(prompt), F.lit("e"), F.lit("")))
+    return F.when(n_e * 12 >= F.length(prompt), F.lit("I find this review POSITIVE.")).otherwise(F.lit("It reads as a negative one."))
+
+
+SQL_ANSWERS = f"""
+prompts AS (
+  SELECT d.doc_id, t.strategy, replace(t.template, '{{review}}', d.text) AS prompt, l.quality
+  FROM documents d JOIN labels l USING (doc_id),
+       (VALUES {', '.join(f'({_q(k)}, {_q(v)})' for k, v in PROMPT_TEMPLATES)}) t(strategy, template)
+),
+answers AS (
+  SELECT doc_id, strategy, quality,
+         CASE WHEN (length(prompt) - length(replace(prompt, 'e', ''))) * 12 >= length(prompt) THEN 'I find this review POSITIVE.'
+              ELSE 'It reads as a negative one.' END AS answer
+  FROM prompts
+)"""
+
+
+def prompt_answers(spark, sf_dir) -> DataFrame:
+    """(doc_id, strategy, quality, answer) of every prompt of every labelled review."""
+    d = _docs(spark, sf_dir).join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+    return render_prompts(d).select("doc_id", "strategy", "quality", stand_in_answer("prompt").alias("answer"))
+
+
+@query("parse_response_label", f"""
+WITH {SQL_ANSWERS}
+SELECT doc_id, strategy, answer, CASE WHEN contains(lower(answer), 'positive') THEN 'Positive' ELSE 'Negative' END AS label
+FROM answers
 """)
 def q_parse_response_label(spark, sf_dir):
-    """Free-text answer -> Positive / Negative."""
-    return _docs(spark, sf_dir).select("doc_id", T.response_label("text").alias("label"))
+    """Free-text answer to every prompt -> Positive / Negative."""
+    return prompt_answers(spark, sf_dir).select("doc_id", "strategy", "answer", T.response_label("answer").alias("label"))
 
 
 @query("punctuation_features", f"""
@@ -596,16 +623,25 @@ def q_punctuation_features(spark, sf_dir):
 
 # ------------------------------------------------------------- P12 / P13
 @query("file_name_fields", """
-SELECT page_id, regexp_extract(url, '[^/]*$', 0) AS file_name,
-       CASE WHEN regexp_extract(regexp_extract(url, '[^/]*$', 0), '(\\d+)_pt', 1) = '' THEN -1
-            ELSE CAST(regexp_extract(regexp_extract(url, '[^/]*$', 0), '(\\d+)_pt', 1) AS INTEGER) END AS knesset_number,
-       CASE WHEN contains(regexp_extract(url, '[^/]*$', 0), 'ptm') THEN 'plenary'
-            WHEN contains(regexp_extract(url, '[^/]*$', 0), 'ptv') THEN 'committee' ELSE 'undefined' END AS protocol_type
-FROM pages
+WITH f AS (
+  SELECT page_id, CASE page_id % 4 WHEN 0 THEN regexp_extract(url, '[^/]*$', 0)
+         ELSE (page_id % 25) || CASE page_id % 4 WHEN 1 THEN '_ptm_' WHEN 2 THEN '_ptv_' ELSE '_pt_' END || regexp_extract(url, '[^/]*$', 0)
+         END AS file_name
+  FROM pages
+)
+SELECT page_id, file_name,
+       CASE WHEN regexp_extract(file_name, '(\\d+)_pt', 1) = '' THEN -1
+            ELSE CAST(regexp_extract(file_name, '(\\d+)_pt', 1) AS INTEGER) END AS knesset_number,
+       CASE WHEN contains(file_name, 'ptm') THEN 'plenary' WHEN contains(file_name, 'ptv') THEN 'committee' ELSE 'undefined' END AS protocol_type
+FROM f
 """)
 def q_file_name_fields(spark, sf_dir):
-    """Number and type fields from file names (last URL segment)."""
-    p = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("url", r"[^/]*$", 0).alias("file_name"))
+    """Number and type fields from file names: the last URL segment of every page, three quarters of them headed
+    by a number and a type."""
+    segment = F.regexp_extract("url", r"[^/]*$", 0)
+    kind = F.element_at(F.array(*[F.lit(x) for x in ("_ptm_", "_ptv_", "_pt_")]), F.greatest(F.col("page_id") % 4, F.lit(1)).cast("int"))
+    named = F.concat((F.col("page_id") % 25).cast("string"), kind, segment)
+    p = table(spark, sf_dir, "pages").select("page_id", F.when(F.col("page_id") % 4 == 0, segment).otherwise(named).alias("file_name"))
     return p.select("page_id", "file_name", T.file_knesset_number("file_name").alias("knesset_number"),
                     T.file_protocol_type("file_name").alias("protocol_type"))
 

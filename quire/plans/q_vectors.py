@@ -6,11 +6,12 @@ from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import vectors as VX
 from quire.functions.keys import hash_key
+from quire.functions.text import response_label
 from quire.operators import metrics as E
 from quire.operators.neighbors import SCORE_DIGITS, knn_vote, topk_similar, topk_sparse
 from quire.operators.replace import analogy, replace_words, replacements_by_analogy
@@ -18,6 +19,7 @@ from quire.operators.ranking import range_rank
 from quire.operators.sampling import stratified_folds
 from quire.plans.common import SQL_DOC_SENTENCES, doc_sentences
 from quire.plans.q_features import SQL_TFIDF, balanced_tfidf
+from quire.plans.q_text import SQL_ANSWERS, prompt_answers
 from quire.plans.registry import query
 from quire.sources.tables import table
 
@@ -355,35 +357,68 @@ def q_knn_classify(spark, sf_dir):
 
 
 # --------------------------------------------------------------- C8-C10
-@query("threshold_decision", """
-SELECT vec_id, CAST(1.0 / (1.0 + exp(-CAST(embedding[1] AS DOUBLE))) > 0.5 AS INTEGER) AS decision FROM embeddings
+def class_scores(e: DataFrame, label: Column) -> DataFrame:
+    """(vec_id, label, z): linear scores of every class over all dimensions, x . mu - |mu|^2 / 2 with the class mean mu
+    (the nearest mean has the largest score); classes in ascending order."""
+    rows = e.select("vec_id", label.cast("int").alias("label"), "vec")
+    means = rows.select("label", F.posexplode("vec").alias("pos", "x")).groupBy("label", "pos").agg(F.avg("x").alias("m"))
+    mu = means.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("pos", "m")))["m"].alias("mu"))
+    mu = mu.select("label", "mu", (VX.dot("mu", "mu") / 2).alias("half"))
+    classes = mu.select(F.sort_array(F.collect_list(F.struct("label", "mu", "half")))).scalar()    # classes x dimensions numbers
+    return (rows.withColumn("__c", classes)
+            .select("vec_id", "label", "vec",          # behind a generator: a reader's lambda must not score again per element
+                    F.explode(F.array(F.transform("__c", lambda c: VX.dot(F.col("vec"), c["mu"]) - c["half"]))).alias("z")))
+
+
+def sql_scores(label: str, vec: str = "vec", name: str = "scores") -> str:
+    return f"""
+{name}_m AS (SELECT label, list(m ORDER BY pos) AS mu FROM (
+  SELECT {label} AS label, u.pos, avg(u.x) AS m FROM emb, unnest({vec}) WITH ORDINALITY AS u(x, pos) GROUP BY ALL) GROUP BY label),
+{name} AS (SELECT e.vec_id, e.label, list(list_dot_product(e.v, c.mu) - list_dot_product(c.mu, c.mu) / 2 ORDER BY c.label) AS z
+           FROM (SELECT vec_id, {vec} AS v, {label} AS label FROM emb) e, {name}_m c GROUP BY e.vec_id, e.label)"""
+
+
+def _upper_half() -> Column:
+    return (F.col("label") >= 5).cast("int")
+
+
+SQL_UPPER = "CAST(label >= 5 AS INTEGER)"
+
+
+def _probability(spark, sf_dir) -> DataFrame:
+    """(vec_id, y, p): the probability of the upper five labels from the two groups' scores."""
+    s = class_scores(_emb(spark, sf_dir), _upper_half())
+    return s.select("vec_id", F.col("label").alias("y"), (F.lit(1.0) / (1 + F.exp(F.col("z")[0] - F.col("z")[1]))).alias("p"))
+
+
+@query("threshold_decision", f"""
+WITH {SQL_EMB}, {sql_scores(SQL_UPPER)}
+SELECT vec_id, CAST(1.0 / (1.0 + exp(z[1] - z[2])) > 0.5 AS INTEGER) AS decision FROM scores
 """)
 def q_threshold_decision(spark, sf_dir):
-    """Probability (sigmoid of the first score) > 0.5 -> 1."""
-    e = _emb(spark, sf_dir)
-    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.element_at("vec", 1)))
-    return e.select("vec_id", (p > 0.5).cast("int").alias("decision"))
+    """Probability (sigmoid of the difference of the two groups' scores) > 0.5 -> 1."""
+    return _probability(spark, sf_dir).select("vec_id", (F.col("p") > 0.5).cast("int").alias("decision"))
 
 
-@query("argmax_class", """
-SELECT vec_id, CAST(list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS INTEGER) AS class FROM embeddings
+@query("argmax_class", f"""
+WITH {SQL_EMB}, {sql_scores('label')}
+SELECT vec_id, CAST(list_position(z, list_max(z)) - 1 AS INTEGER) AS class FROM scores
 """)
 def q_argmax_class(spark, sf_dir):
-    """Class with the largest of the first 10 scores."""
-    e = table(spark, sf_dir, "embeddings")
-    a = F.slice("embedding", 1, 10)
-    return e.select("vec_id", (F.array_position(a, F.array_max(a)) - 1).cast("int").alias("class"))
+    """Class with the largest score."""
+    s = class_scores(_emb(spark, sf_dir), F.col("label"))
+    return s.select("vec_id", (F.array_position("z", F.array_max("z")) - 1).cast("int").alias("class"))
 
 
-@query("softmax_probabilities", """
-WITH l AS (SELECT vec_id, CAST(embedding[1:10] AS DOUBLE[]) AS z FROM embeddings)
+@query("softmax_probabilities", f"""
+WITH {SQL_EMB}, {sql_scores('label')}
 SELECT vec_id, CAST(u.i - 1 AS INTEGER) AS class,
        round(exp(u.x - list_max(z)) / list_sum(list_transform(z, lambda y: exp(y - list_max(z)))), 6) AS prob
-FROM l, unnest(z) WITH ORDINALITY AS u(x, i)
+FROM scores, unnest(z) WITH ORDINALITY AS u(x, i)
 """)
 def q_softmax_probabilities(spark, sf_dir):
-    """Softmax of the first 10 scores, one row per class."""
-    e = _emb(spark, sf_dir).select("vec_id", F.slice("vec", 1, 10).alias("z"))
+    """Softmax of the scores, one row per class."""
+    e = class_scores(_emb(spark, sf_dir), F.col("label")).select("vec_id", "z")
     p = E.softmax(e, "z", "p")
     return p.select("vec_id", F.posexplode("p").alias("class", "prob")) \
         .select("vec_id", F.col("class").cast("int").alias("class"), F.round("prob", 6).alias("prob"))
@@ -453,28 +488,24 @@ def q_confusion_matrix(spark, sf_dir):
     return E.confusion_matrix(predictions(spark, sf_dir))
 
 
-@query("cross_entropy", """
-WITH l AS (SELECT CAST(embedding[1:10] AS DOUBLE[]) AS z, label FROM embeddings)
+@query("cross_entropy", f"""
+WITH {SQL_EMB}, {sql_scores('label')}
 SELECT round(avg(list_max(z) + ln(list_sum(list_transform(z, lambda y: exp(y - list_max(z))))) - z[label + 1]), 6)
-       AS loss FROM l
+       AS loss FROM scores
 """)
 def q_cross_entropy(spark, sf_dir):
-    """E5: mean of -log softmax(logits)[label] (first 10 scores as logits)."""
-    e = _emb(spark, sf_dir).select(F.slice("vec", 1, 10).alias("z"), "label")
-    return E.cross_entropy(e, "z", "label")
+    """E5: mean of -log softmax(scores)[label]."""
+    return E.cross_entropy(class_scores(_emb(spark, sf_dir), F.col("label")), "z", "label")
 
 
-@query("binary_cross_entropy", """
-WITH l AS (SELECT 1.0 / (1.0 + exp(-CAST(embedding[1] AS DOUBLE))) AS p, CASE WHEN label >= 5 THEN 1 ELSE 0 END AS y
-           FROM embeddings)
+@query("binary_cross_entropy", f"""
+WITH {SQL_EMB}, {sql_scores(SQL_UPPER)},
+l AS (SELECT 1.0 / (1.0 + exp(z[1] - z[2])) AS p, label AS y FROM scores)
 SELECT round(avg(-(y * ln(p) + (1 - y) * ln(1 - p))), 6) AS loss FROM l
 """)
 def q_binary_cross_entropy(spark, sf_dir):
     """Mean of -(y ln p + (1 - y) ln(1 - p))."""
-    e = _emb(spark, sf_dir)
-    d = e.select((F.lit(1.0) / (1 + F.exp(-F.element_at("vec", 1)))).alias("p"),
-                 (F.col("label") >= 5).cast("int").alias("y"))
-    return E.binary_cross_entropy(d, "p", "y")
+    return E.binary_cross_entropy(_probability(spark, sf_dir), "p", "y")
 
 
 # --- fixed values that must equal the reference: loss settings -------------
@@ -484,23 +515,23 @@ CLASS_WEIGHTS = [1.0, 1.5, 1.2, 1.3]
 
 
 @query("smoothed_weighted_loss", f"""
-WITH l AS (SELECT CAST(embedding[1:4] AS DOUBLE[]) AS z, label FROM embeddings WHERE label < 4),
-ls AS (SELECT z, label, list_transform(z, lambda y: y - list_max(z) - ln(list_sum(list_transform(z, lambda t: exp(t - list_max(z)))))) AS lsm FROM l)
+WITH {SQL_EMB}, {sql_scores('label % 4')},
+ls AS (SELECT z, label, list_transform(z, lambda y: y - list_max(z) - ln(list_sum(list_transform(z, lambda t: exp(t - list_max(z)))))) AS lsm FROM scores)
 SELECT round(avg(-list_sum(list_transform(range(4), lambda c:
          ((1 - {SMOOTHING}) * CASE WHEN c = label THEN 1 ELSE 0 END + {SMOOTHING} / 4) * lsm[c + 1]))
          * ({CLASS_WEIGHTS})[label + 1]), 6) AS loss
 FROM ls
 """)
 def q_smoothed_weighted_loss(spark, sf_dir):
-    """Label-smoothed cross-entropy weighted by the true class (4 classes)."""
-    e = _emb(spark, sf_dir).filter(F.col("label") < 4).select(F.slice("vec", 1, 4).alias("z"), "label")
+    """Label-smoothed cross-entropy weighted by the true class (label modulo 4)."""
+    e = class_scores(_emb(spark, sf_dir), F.col("label") % 4)
     return E.smoothed_weighted_loss(e, "z", "label", 4, SMOOTHING, CLASS_WEIGHTS)
 
 
 @query("reconstruction_plus_kl", """
-WITH v AS (SELECT list_transform(CAST(embedding[1:16] AS DOUBLE[]), lambda y: 1.0 / (1.0 + exp(-y))) AS x,
-                  list_transform(CAST(embedding[17:32] AS DOUBLE[]), lambda y: 1.0 / (1.0 + exp(-y))) AS xh,
-                  CAST(embedding[33:40] AS DOUBLE[]) AS m, CAST(embedding[41:48] AS DOUBLE[]) AS lv
+WITH v AS (SELECT list_transform(CAST(embedding[1:24] AS DOUBLE[]), lambda y: 1.0 / (1.0 + exp(-y))) AS x,
+                  list_transform(CAST(embedding[25:48] AS DOUBLE[]), lambda y: 1.0 / (1.0 + exp(-y))) AS xh,
+                  CAST(embedding[49:56] AS DOUBLE[]) AS m, CAST(embedding[57:64] AS DOUBLE[]) AS lv
            FROM embeddings)
 SELECT round(sum(
   -list_sum(list_transform(list_zip(x, xh), lambda z: z[1] * ln(z[2] + 1e-8) + (1 - z[1]) * ln(1 - z[2] + 1e-8)))
@@ -508,21 +539,24 @@ SELECT round(sum(
 FROM v
 """)
 def q_reconstruction_plus_kl(spark, sf_dir):
-    """Binary reconstruction loss plus KL term, summed over rows."""
+    """Binary reconstruction loss plus KL term, summed over rows (24 dimensions rebuilt as the next 24, 8 means, 8 log variances)."""
     e = _emb(spark, sf_dir)
     sig = lambda a: F.transform(a, lambda y: F.lit(1.0) / (1 + F.exp(-y)))
-    d = e.select(sig(F.slice("vec", 1, 16)).alias("x"), sig(F.slice("vec", 17, 16)).alias("xh"),
-                 F.slice("vec", 33, 8).alias("m"), F.slice("vec", 41, 8).alias("lv"))
+    d = e.select(sig(F.slice("vec", 1, 24)).alias("x"), sig(F.slice("vec", 25, 24)).alias("xh"),
+                 F.slice("vec", 49, 8).alias("m"), F.slice("vec", 57, 8).alias("lv"))
     return E.reconstruction_plus_kl(d)
 
 
+EPOCH_DIMS = (22, 43, 64)         # dimensions that the scores of epoch 0, 1 and 2 use
+
+
 @query("metrics_by_split", f"""
-WITH {SQL_EMB},
-sp AS (SELECT vec_id, vec, label, CASE WHEN row_number() OVER (ORDER BY md5('{SEED}-' || CAST(vec_id AS VARCHAR)))
+WITH {SQL_EMB}, {", ".join(sql_scores('label', f'vec[1:{n}]', f's{e}').strip() for e, n in enumerate(EPOCH_DIMS))},
+sp AS (SELECT vec_id, CASE WHEN row_number() OVER (ORDER BY md5('{SEED}-' || CAST(vec_id AS VARCHAR)))
        <= floor(0.8 * count(*) OVER ()) THEN 'train' ELSE 'test' END AS split,
        floor((row_number() OVER (ORDER BY md5('{SEED}-' || CAST(vec_id AS VARCHAR))) - 1) / 64) AS batch FROM emb),
-ep AS (SELECT vec_id, split, batch, label, e.epoch, vec[e.epoch * 10 + 1:e.epoch * 10 + 10] AS z
-       FROM sp, range(3) AS e(epoch)),
+ep AS (SELECT split, batch, label, epoch, z FROM sp JOIN (
+         {" UNION ALL ".join(f"SELECT vec_id, label, z, {e} AS epoch FROM s{e}" for e in range(len(EPOCH_DIMS)))}) USING (vec_id)),
 r AS (SELECT split, batch, epoch, label, z,
              list_max(z) + ln(list_sum(list_transform(z, lambda y: exp(y - list_max(z))))) - z[label + 1] AS loss,
              list_position(z, list_max(z)) - 1 AS prediction FROM ep),
@@ -533,32 +567,27 @@ FROM b GROUP BY epoch, split
 """)
 def q_metrics_by_split(spark, sf_dir):
     """Batch-mean loss (seeded batches of 64) and accuracy per (epoch,
-    split) of a prediction table (epoch e scores = dims 10e+1 .. 10e+10)."""
+    split) of a prediction table (the scores of each epoch use more dimensions, the last all)."""
     from quire.operators.sampling import batch_numbers, random_split
-    e = batch_numbers(random_split(_emb(spark, sf_dir), ["vec_id"], 0.8, SEED), 64, ["vec_id"], SEED)
-    ep = e.select("split", "batch", "label", "vec", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("epoch"))
-    ep = ep.select("split", "batch", "label", F.col("epoch").cast("bigint").alias("epoch"),
-                   F.slice("vec", F.col("epoch") * 10 + 1, F.lit(10)).alias("z"))
-    return E.metrics_by_split(ep, "z", "label", ["epoch", "split"], "batch")
+    emb = _emb(spark, sf_dir)
+    rows = batch_numbers(random_split(emb, ["vec_id"], 0.8, SEED), 64, ["vec_id"], SEED).select("vec_id", "split", "batch")
+    scores = None
+    for epoch, n in enumerate(EPOCH_DIMS):
+        s = class_scores(emb.withColumn("vec", F.slice("vec", 1, n)), F.col("label"))
+        s = s.select("vec_id", "label", "z", F.lit(epoch).cast("bigint").alias("epoch"))
+        scores = s if scores is None else scores.unionByName(s)
+    return E.metrics_by_split(scores.join(rows, "vec_id"), "z", "label", ["epoch", "split"], "batch")
 
 
 @query("accuracy_by_strategy", f"""
-WITH p AS (
-  SELECT d.doc_id, t.strategy, replace(t.template, '{{review}}', d.text) AS prompt,
-         CASE WHEN l.quality = 1 THEN 'Positive' ELSE 'Negative' END AS truth
-  FROM documents d JOIN labels l USING (doc_id),
-       (VALUES {", ".join("('" + k + "', '" + v.replace("'", "''") + "')" for k, v in __import__("quire.plans.q_text", fromlist=["x"]).PROMPT_TEMPLATES)}) t(strategy, template)
-)
-SELECT strategy, round(avg(CAST((CASE WHEN contains(lower(prompt), 'positive') THEN 'Positive' ELSE 'Negative' END) = truth AS DOUBLE)), 6)
-       AS accuracy FROM p GROUP BY strategy
+WITH {SQL_ANSWERS}
+SELECT strategy, round(avg(CAST((CASE WHEN contains(lower(answer), 'positive') THEN 'Positive' ELSE 'Negative' END)
+                                = (CASE WHEN quality = 1 THEN 'Positive' ELSE 'Negative' END) AS DOUBLE)), 6) AS accuracy
+FROM answers GROUP BY strategy
 """)
 def q_accuracy_by_strategy(spark, sf_dir):
     """Accuracy of the parsed answer (T19 on T18 prompts) per prompt strategy."""
-    from quire.functions.text import response_label
-    from quire.plans.q_text import render_prompts
-    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
-    p = render_prompts(d)
-    p = p.select("strategy", response_label("prompt").alias("answer"),
-                 F.when(F.col("quality") == 1, "Positive").otherwise("Negative").alias("truth"))
+    p = prompt_answers(spark, sf_dir).select("strategy", response_label("answer").alias("answer"),
+                                             F.when(F.col("quality") == 1, "Positive").otherwise("Negative").alias("truth"))
     return p.groupBy("strategy").agg(F.round(F.avg((F.col("answer") == F.col("truth")).cast("double")), 6)
                                      .alias("accuracy"))
