@@ -109,8 +109,8 @@ def _edited(base: DataFrame, follow: DataFrame, need: Column) -> tuple[DataFrame
 
     The document of the null ids and the one it follows are looked up by themselves, one text each, since its rows lie spread.
     """
-    wanted = follow.select(F.col("id").alias("pid"), F.col("need").alias("wanted"), "next")
-    piece = (wanted.join(base, (F.col("next") == F.col("place")) & (F.col("next") == F.col("id"))).groupBy("pid", "next")
+    wanted = follow.select(F.col("id").alias("pid"), F.col("need").alias("wanted"), "next", "next_place")
+    piece = (wanted.join(base, (F.col("next_place") == F.col("place")) & (F.col("next") == F.col("id"))).groupBy("pid", "next")
              .agg(F.min(F.struct("tid", F.expr("left(text, wanted)").alias("piece"))).alias("p")).select("pid", "p.piece"))
     apart = follow.where((F.col("id") == NULL_ID) | (F.col("next") == NULL_ID)).collect()        # two rows at most
     paste, following = F.col("piece"), F.col("follower")
@@ -138,7 +138,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base = base.withColumn("place", F.when(F.col("id") == NULL_ID, F.col("tid")).otherwise(F.col("id")))
     words = F.broadcast(materialise(lexicon(base), "lexicon").withColumnRenamed("term", "in_band"))
     need = F.floor(F.char_length("text") / 4).cast("int")
-    follow = materialise(_next_ids(base.groupBy("id").agg(F.max(need).alias("need"))), "next")
+    # the successor is written twice, as its place and its id: known as one column, the optimiser would filter the texts by place = id
+    follow = materialise(_next_ids(base.groupBy("id").agg(F.max(need).alias("need"))).withColumn("next_place", F.col("next")), "next")
     rows, with_next = _edited(base, follow, need)
 
     def versions(*more):
