@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from quire.operators import ngrams as N
-from quire.operators.gram_blocks import asked
+from quire.operators.gram_blocks import _words_asked, asked, mean_vectors
 
 ROWS = [("a", "x", ["le", "chat", "dort"]), ("b", "x", ["le", "chat", "mange", "le", "chat"]), ("c", "y", ["the", "cat"]), ("d", "y", [])]
 
@@ -60,3 +60,16 @@ def test_a_block_asks_once_for_each_gram():
                          "corpus": ["x"] * copies, "tokens": pa.array([["a", "b", "a", "b"]] * copies, pa.list_(pa.string()))})
     ask = asked("s_1", "s_2")
     assert ask(table(1000)).drop(["i"]) == ask(table(1)).drop(["i"])
+
+
+def test_mean_vectors_of_repeated_ids_and_unknown_words(spark):
+    s = spark.createDataFrame([("a", ["x", "y", "x"]), ("b", ["nowhere"]), ("c", None), ("d", ["y"]), ("d", ["x"])],
+                              "sid string, tokens array<string>")
+    v = spark.createDataFrame([("x", [1.0, 0.0]), ("y", [4.0, 3.0]), ("z", [9.0, 9.0])], "word string, vec array<double>")
+    got = sorted((r["sid"], r["n_known"], r["mean"]) for r in mean_vectors(s, v, 2).collect())
+    assert got == [("a", 3, [2.0, 1.0]), ("b", 0, [0.0, 0.0]), ("c", 0, [0.0, 0.0]), ("d", 2, [2.5, 1.5]), ("d", 2, [2.5, 1.5])]
+
+
+def test_a_block_asks_once_for_each_word():
+    t = pa.table({"block": pa.array([0] * 500, pa.int64()), "tokens": pa.array([["a", "b", "a"]] * 500, pa.list_(pa.string()))})
+    assert _words_asked(t).column("word").to_pylist() == ["a", "b"]
