@@ -128,3 +128,14 @@ def test_clean_lyrics_and_prompts(spark):
 def test_fill_markers(spark):
     df = spark.createDataFrame([("a [*] b [*] c", ["x", "y"])], "t string, p array<string>")
     assert df.select(T.fill_markers("t", "p")).first()[0] == "a x b y c"
+
+
+def test_sentence_pattern_is_the_lazy_one(spark):
+    """The possessive pattern finds what the lazy one found, at line ends and blanks too, and keeps no choices per character."""
+    import itertools
+    lazy = r"\s*\S[\s\S]*?[.!?:]|\s*\S[\s\S]*$"
+    rows = [("".join(x),) for n in range(6) for x in itertools.product("a. \n?", repeat=n)] + [("é  .\r\n",), (None,)]
+    d = spark.createDataFrame(rows, "t string")
+    both = d.select("t", F.regexp_extract_all("t", F.lit(lazy), 0).alias("a"), F.regexp_extract_all("t", F.lit(T.SENTENCE_RE), 0).alias("b"))
+    assert both.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
+    assert "*?" not in T.SENTENCE_RE
