@@ -40,7 +40,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: the split pattern that belongs to the vocabulary file (fixed value)
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SEQUENCE, SHARD, KEY = 2048, 4096, 0x5EED_0F_DA7A
-CACHED_PIECES = 1 << 16
+CACHED_PIECES = 1 << 20
 #: bytes of text that are cut into tokens at a time
 SLICE_BYTES = 1 << 20
 
@@ -103,7 +103,7 @@ class PieceTokenizer:
                 self.begin, self.size, self.ids = self.begin[:0], self.size[:0], self.ids[:0]
             begin = np.concatenate([self.begin, np.cumsum(size) - size + len(self.ids)])
             all_keys, self.size, self.ids = np.concatenate([self.keys, keys[new]]), np.concatenate([self.size, size]), np.concatenate([self.ids, ids])
-            order = np.argsort(all_keys)
+            order = np.argsort(all_keys, kind="stable")   # two sorted runs
             self.keys, self.begin, self.size = all_keys[order], begin[order], self.size[order]
             place = np.searchsorted(self.keys, keys)
         piece = place[inverse]

@@ -387,3 +387,19 @@ def test_feistel_is_a_permutation():
     for n in (1, 2, 3, 17, 1000, 4097):
         assert sorted(feistel_slots(np.arange(n), n, 99).tolist()) == list(range(n))
     assert feistel_slots(np.arange(1000), 1000, 1).tolist() != feistel_slots(np.arange(1000), 1000, 2).tolist()
+
+
+def test_pieces_are_encoded_once():
+    """A corpus of more distinct pieces than 65,536 does not start the store anew again and again."""
+    import numpy as np
+
+    from quire.llm.token_output import VOCABULARY, PieceTokenizer, load_ranks
+    tokenizer, asked = PieceTokenizer(load_ranks(VOCABULARY)), []
+    encode = tokenizer.encode
+    tokenizer.encode = lambda text: asked.append(text) or encode(text)
+    batches = [" ".join(f"w{i}" for i in range(a, a + 40_000)) for a in (0, 40_000, 80_000)] * 2
+    for text in batches:
+        buf = np.frombuffer(text.encode(), np.uint8)
+        ids, per_row = tokenizer.tokens(buf, np.array([0, len(buf)]))
+        assert ids[:-1].tolist() == encode(text) and per_row.tolist() == [len(ids)]
+    assert len(asked) == len(set(asked))
