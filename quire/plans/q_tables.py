@@ -233,11 +233,8 @@ GROUP BY lang, doc_id
 def q_intersect_keys(spark, sf_dir):
     """Bigrams valid corpus-wide (count >= 5) present in each document (left semi join)."""
     s = doc_sentences(spark, sf_dir).withColumnRenamed("lang", "corpus")
-    dg, _ = N.document_ngram_counts(s, (2,))
-    valid = (dg.groupBy("corpus", "gram").agg(F.sum("cnt").alias("c"))
-             .filter(F.col("c") >= 5).select("corpus", "gram"))
-    hit = dg.join(valid, ["corpus", "gram"], "left_semi")
-    return hit.groupBy(F.col("corpus").alias("lang"), "doc_id").agg(F.count(F.lit(1)).alias("n_valid_grams"))
+    g = N.frequent_ngrams(s.select("corpus", "doc_id", F.col("tokens").alias("t")), (2,), 5, "doc_id").per_document()
+    return g.select(F.col("corpus").alias("lang"), F.col("doc").alias("doc_id"), F.col("n_grams").alias("n_valid_grams"))
 
 
 @query("numeric_label_encode", """
