@@ -107,3 +107,26 @@ def test_range_rank(spark):
         assert {i: n for i, n in got.items() if rows[i][1] == g} == {
             r[0]: n for n, r in enumerate(sorted((r for r in rows if r[1] == g), key=lambda r: (r[2], r[0])), 1)}
     assert range_rank(df.limit(0), [F.col("id").asc()]).count() == 0
+
+
+def test_counts_that_begin_with_the_mark(spark):
+    """N11 at the sentence start needs every token and the grams after the mark; no other gram is counted."""
+    s = spark.createDataFrame([("a", ["x", "y"]), ("a", ["x", "z", "x"]), ("b", ["y", "s_1", "x"]), (None, ["x"])], "corpus string, tokens array<string>")
+    rows = {tuple(r) for r in N.ngram_counts(s).collect()}
+    assert {tuple(r) for r in N.ngram_counts(s, begins=N.BOS).collect()} == {
+        r for r in rows if r[1] == 1 or r[2].split(" ")[0] == N.BOS}
+
+
+def test_nucleus_of_a_large_context_is_cut_in_ranges(spark):
+    """N21 by ranges: the same tokens as one running sum, nulls in the keys too, and no window over a whole context."""
+    rows = [(c, "x", f"t{i:04d}", float(1 + i * 7 % 97)) for c in ("a", None) for i in range(2000)]
+    total = sum(r[3] for r in rows) / 2
+    d = spark.createDataFrame([(c, x, t, p / total) for c, x, t, p in rows], "corpus string, w1 string, token string, p double")
+    got = {(r.corpus, r.token): r.p for r in G.nucleus(d, ["corpus", "w1"], 0.5).collect()}
+    cum, kept = 0.0, []
+    for _, _, t, p in sorted((r for r in rows if r[0] == "a"), key=lambda r: (-r[3], r[2])):
+        if cum <= 0.5:
+            kept.append((t, p))
+        cum += p / total
+    mass = sum(p for _, p in kept)
+    assert {k: round(v, 12) for k, v in got.items()} == {(c, t): round(p / mass, 12) for c in ("a", None) for t, p in kept}
