@@ -21,6 +21,7 @@ from quire.plans.common import (LATIN, SQL_DOC_SENTENCES, SQL_SENTENCE_RE, SQL_T
 from quire.plans.registry import query
 from quire.session import ensure_checkpoint_dir
 from quire.sources.files import CORPUS_FIELDS, read_corpus_jsonl, write_corpus_jsonl
+from quire.session import written
 from quire.sources.tables import table
 
 SEED = 42
@@ -470,7 +471,8 @@ SELECT doc_id, CAST((SELECT max(len(x)) FROM p) AS BIGINT) AS padded_len,
 def q_pad_to_longest(spark, sf_dir):
     """Right-pad the input sequences with 0 to the longest (length as a scalar subquery)."""
     c = _codes(spark, sf_dir).filter(F.size("codes") >= 2)
-    x = c.select("doc_id", F.slice("codes", 1, F.size("codes") - 1).alias("x"))
+    # written once: the longest and each use of a sequence would else clean and encode its text anew
+    x = written(c.select("doc_id", F.slice("codes", 1, F.size("codes") - 1).alias("x")))
     longest = x.select(F.max(F.size("x"))).scalar()
     padded = F.concat("x", F.array_repeat(F.lit(0), longest - F.size("x")))
     return x.select("doc_id", F.size(padded).cast("bigint").alias("padded_len"),

@@ -139,3 +139,12 @@ def test_sentence_pattern_is_the_lazy_one(spark):
     both = d.select("t", F.regexp_extract_all("t", F.lit(lazy), 0).alias("a"), F.regexp_extract_all("t", F.lit(T.SENTENCE_RE), 0).alias("b"))
     assert both.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
     assert "*?" not in T.SENTENCE_RE
+
+
+def test_padded_sequences_are_written_once(spark, tmp_path):
+    """The longest and the padding read the encoded sequences, not the texts again."""
+    from quire.plans.q_text import q_pad_to_longest
+    spark.createDataFrame([(1, "abc d"), (2, "ab"), (3, "a"), (4, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    d = q_pad_to_longest(spark, str(tmp_path))
+    assert not any("documents.parquet" in f for f in d.inputFiles())
+    assert {tuple(r) for r in d.collect()} == {(1, 4, 0), (2, 4, 3)}
