@@ -469,14 +469,26 @@ SELECT doc_id, CAST((SELECT max(len(x)) FROM p) AS BIGINT) AS padded_len,
        CAST((SELECT max(len(x)) FROM p) - len(x) AS BIGINT) AS pad_count FROM p
 """)
 def q_pad_to_longest(spark, sf_dir):
-    """Right-pad the input sequences with 0 to the longest (length as a scalar subquery)."""
-    c = _codes(spark, sf_dir).filter(F.size("codes") >= 2)
+    """Right-pad the input and target sequences with 0 to the longest (length as a scalar subquery); the lengths are those of
+    the padded table."""
+    padded = pad_to_longest(_codes(spark, sf_dir).filter(F.size("codes") >= 2))
+    return padded.select("doc_id", "padded_len", "pad_count")
+
+
+def pad_to_longest(encoded: DataFrame) -> DataFrame:
+    """T23 operator: ``encoded(doc_id, codes)`` -> (doc_id, padded_len, pad_count, input_seq, target_seq), all input and target
+    sequences of one length, written as a table.
+
+    The zeros are appended as text, so no array of the longest length is built per row; Zstandard leaves next to nothing of them."""
     # written once: the longest and each use of a sequence would else clean and encode its text anew
-    x = written(c.select("doc_id", F.slice("codes", 1, F.size("codes") - 1).alias("x")))
-    longest = x.select(F.max(F.size("x"))).scalar()
-    padded = F.concat("x", F.array_repeat(F.lit(0), longest - F.size("x")))
-    return x.select("doc_id", F.size(padded).cast("bigint").alias("padded_len"),
-                    (longest - F.size("x")).cast("bigint").alias("pad_count"))
+    c = written(encoded, compression="zstd")
+    n = F.size("codes") - 1
+    longest = c.select(F.max(n)).scalar()
+    sequence = lambda first: F.array_join(F.slice("codes", first, n), ",")
+    c = c.select("doc_id", n.alias("n"), sequence(1).alias("x"), sequence(2).alias("y"), F.repeat(F.lit(",0"), longest - n).alias("zeros"))
+    c = c.select("doc_id", "n", F.octet_length("zeros").alias("more"), F.concat("x", "zeros").alias("input_seq"), F.concat("y", "zeros").alias("target_seq"))
+    count = (F.col("more") / 2).cast("bigint")
+    return written(c.select("doc_id", (F.col("n") + count).alias("padded_len"), count.alias("pad_count"), "input_seq", "target_seq"), compression="zstd")
 
 
 # ------------------------------------------------------------ T14-T19, T25

@@ -148,3 +148,10 @@ def test_padded_sequences_are_written_once(spark, tmp_path):
     d = q_pad_to_longest(spark, str(tmp_path))
     assert not any("documents.parquet" in f for f in d.inputFiles())
     assert {tuple(r) for r in d.collect()} == {(1, 4, 0), (2, 4, 3)}
+
+
+def test_input_and_target_sequences_are_padded(spark):
+    """The padded sequences themselves are made, the targets' too."""
+    from quire.plans.q_text import pad_to_longest
+    d = pad_to_longest(spark.createDataFrame([(1, [5, 6, 7, 8]), (2, [9, 11]), (2, [9, 11])], "doc_id long, codes array<long>"))
+    assert sorted(tuple(r) for r in d.collect()) == [(1, 3, 0, "5,6,7", "6,7,8"), (2, 3, 2, "9,0,0", "11,0,0"), (2, 3, 2, "9,0,0", "11,0,0")]
