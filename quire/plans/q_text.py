@@ -481,14 +481,14 @@ def pad_to_longest(encoded: DataFrame) -> DataFrame:
 
     The zeros are appended as text, so no array of the longest length is built per row; Zstandard leaves next to nothing of them."""
     # written once: the longest and each use of a sequence would else clean and encode its text anew
-    c = written(encoded, compression="zstd")
+    c = written(encoded)
     n = F.size("codes") - 1
     longest = c.select(F.max(n)).scalar()
     sequence = lambda first: F.array_join(F.slice("codes", first, n), ",")
     c = c.select("doc_id", n.alias("n"), sequence(1).alias("x"), sequence(2).alias("y"), F.repeat(F.lit(",0"), longest - n).alias("zeros"))
     c = c.select("doc_id", "n", F.octet_length("zeros").alias("more"), F.concat("x", "zeros").alias("input_seq"), F.concat("y", "zeros").alias("target_seq"))
     count = (F.col("more") / 2).cast("bigint")
-    return written(c.select("doc_id", (F.col("n") + count).alias("padded_len"), count.alias("pad_count"), "input_seq", "target_seq"), compression="zstd")
+    return written(c.select("doc_id", (F.col("n") + count).alias("padded_len"), count.alias("pad_count"), "input_seq", "target_seq"))
 
 
 # ------------------------------------------------------------ T14-T19, T25
