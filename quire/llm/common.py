@@ -51,15 +51,22 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quire-{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+#: Parquet looks after every row whether a row group is full, not after a hundred; a reader holds one group at a time
+LARGE_ROWS = {"parquet.block.size": str(4 << 20), "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "1",
+              "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
+
+
+def materialise(df: DataFrame, name: str, large_rows: bool = False) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     Cuts the lineage like ``checkpoint()`` does (a lost executor costs nothing
     but the reads under way), but stays columnar: later scans prune columns.
+    ``large_rows`` (of megabytes each) go to row groups of their own, so that
+    neither the writer nor a reader gathers all that a task has.
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**(LARGE_ROWS if large_rows else {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -2,7 +2,8 @@
 
 Index.  One scan cuts the documents of each task into parts of about
 ``PART_BYTES`` of text; a part is one row with its own vocabulary and, for each
-term, the list of its documents.  Corpus figures (documents, terms, document
+term, the list of its documents, written as a row group of its own, so that a
+task holds one part whatever it reads.  Corpus figures (documents, terms, document
 frequencies) are sums over the parts; with them a second scan, over the index
 only, turns each posting into its impact and sorts every list by impact,
 highest first.  Documents are never shuffled.
@@ -29,6 +30,7 @@ Only the named columns are read, so other columns cannot clash.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -39,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm import kernel as K
-from quire.llm.common import discard, materialise, share, shared
+from quire.llm.common import bound_batches, discard, materialise, share, shared
 
 PART_BYTES = 16 << 20
 #: a part ends at so many documents, too
@@ -72,7 +74,7 @@ class _Part:
         self.ids, self.sizes, self.bytes = [], [], 0
         self.vocabulary: defaultdict = defaultdict()
         self.vocabulary.default_factory = self.vocabulary.__len__
-        self.terms, self.times = [], []
+        self.terms, self.times = array("i"), array("q")
 
     def add(self, id_, text: bytes) -> None:
         counts = _terms(text)
@@ -89,7 +91,7 @@ class _Part:
         by_id = pc.array_sort_indices(ids, null_placement="at_end").to_numpy()
         number = np.empty(len(by_id), np.int32)
         number[by_id] = np.arange(len(by_id), dtype=np.int32)
-        term, tf = np.array(self.terms, np.int32), np.array(self.times, np.int64)
+        term, tf = np.frombuffer(self.terms, np.int32), np.frombuffer(self.times, np.int64)
         doc = np.repeat(number, self.sizes)
         length = np.bincount(doc, weights=tf, minlength=len(by_id)).astype(np.int64)
         order = np.lexsort((doc, term))
@@ -152,10 +154,10 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     arrow_type = rows.limit(0).toArrow().schema.field(0).type
     forward = materialise(rows.mapInArrow(
         _parts(arrow_type, part_bytes), f"ids array<{id_type}>, lengths array<long>, terms array<string>, df array<int>, docs array<int>, "
-        "tf array<long>, n_docs long, n_terms long"), "forward")
+        "tf array<long>, n_docs long, n_terms long"), "forward", large_rows=True)
     n_docs, n_terms = forward.agg(F.coalesce(F.sum("n_docs"), F.lit(0)), F.coalesce(F.sum("n_terms"), F.lit(0))).first()
     parts = materialise(forward.drop("n_docs", "n_terms").mapInArrow(
-        _impacts(n_docs, n_terms), f"ids array<{id_type}>, terms array<string>, df array<int>, docs array<int>, impacts array<int>"), "impacts")
+        _impacts(n_docs, n_terms), f"ids array<{id_type}>, terms array<string>, df array<int>, docs array<int>, impacts array<int>"), "impacts", large_rows=True)
     return Index(parts, parts.select("terms", "df"), n_docs, id_type)
 
 
@@ -257,6 +259,7 @@ def rank_documents(docs: DataFrame, items: DataFrame, k: int = 20, id_col: str =
                    item_text_col: str = "text", block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES) -> DataFrame:
     """(``item_col``, rank, ``id_col``, score, item_key): the ``k`` documents with the highest scores above 0 for each item."""
     spark = docs.sparkSession
+    bound_batches(spark)
     index = build_index(docs, id_col, text_col, part_bytes)
     id_type = index.parts.limit(0).toArrow().schema.field(0).type.value_type
     asked = materialise(_items(index, items, item_col, item_text_col), "items")
